@@ -35,13 +35,24 @@ def to_decimal(c: str | Column, precision: int = 15, scale: int = 10) -> Column:
     return _col(c).try_cast(T.DecimalType(precision, scale))
 
 
-def all_missing(columns: Iterable[str | Column], sentinel: str = MISSING) -> Column:
+def missing_cell(c: str | Column, sentinel: str | None = MISSING) -> Column:
+    """True for NULL, or for the sentinel when one is given (text columns only)."""
+    test = _col(c).isNull()
+    if sentinel is not None:
+        test = test | (_col(c) == F.lit(sentinel))
+    return test
+
+
+def all_missing(columns: Iterable[str | Column], sentinel: str | None = MISSING) -> Column:
     """True when every given cell is NULL or the sentinel (F1's emptiness test).
 
     An AND of per-column tests: it short-circuits, stays in codegen and never
-    builds the joined string the reference compared against.
+    builds the joined string the reference compared against. Typed (non-text)
+    columns hold no sentinel: pass them as ``(column, None)`` pairs.
     """
-    tests = [_col(c).isNull() | (_col(c) == F.lit(sentinel)) for c in columns]
+    tests = [
+        missing_cell(*c) if isinstance(c, tuple) else missing_cell(c, sentinel) for c in columns
+    ]
     if not tests:
         raise ValueError("all_missing needs at least one column")
     return reduce(lambda a, b: a & b, tests)

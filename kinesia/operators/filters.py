@@ -19,12 +19,14 @@ def drop_empty_rows(
 ) -> DataFrame:
     """Drop rows whose every measurement is NULL or the sentinel (F1).
 
-    Measurements are all columns except ``key_columns``. A plain predicate, so
+    Measurements are all columns except ``key_columns``; only text columns can
+    hold the sentinel, typed ones are tested for NULL. A plain predicate, so
     the parquet reader can still push the rest of the plan's filters and the
     whole step stays in one codegen stage with the projection that follows.
     """
-    cols = measurement_columns(df, key_columns)
-    return df.where(~all_missing(cols, sentinel))
+    types = dict(df.dtypes)
+    cols = [(c, sentinel if types[c] == "string" else None) for c in measurement_columns(df, key_columns)]
+    return df.where(~all_missing(cols))
 
 
 def keep_key(df: DataFrame, column: str, value) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinesia.functions.magnitude import magnitude
 from kinesia.functions.missing import to_int
@@ -43,16 +44,20 @@ def with_magnitudes(
     """Replace each metric's ``_x/_y/_z`` columns by its magnitude.
 
     The result keeps the other columns in place, puts each magnitude where its
-    ``_x`` column was and drops ``_y`` and ``_z``. ``heart_rate`` text, when
-    present, becomes an int with the sentinel as NULL (P11). One projection.
+    ``_x`` column was and drops ``_y`` and ``_z``. ``heart_rate``, when present,
+    becomes an int: text with the sentinel as NULL (P11), typed input truncated.
+    One projection.
     """
     axis_cols = {f"{m}_{a}": m for m in metrics for a in AXES}
+    types = dict(df.dtypes)
     out = []
     for c in df.columns:
         metric = axis_cols.get(c)
         if metric is None:
             if heart_rate is not None and c == heart_rate:
-                out.append(to_int(c, sentinel).alias(c))
+                text = types[c] == "string"
+                hr = to_int(c, sentinel) if text else F.col(c).try_cast(T.IntegerType())
+                out.append(hr.alias(c))
             else:
                 out.append(F.col(c))
         elif c.endswith("_x"):

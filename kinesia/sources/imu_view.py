@@ -45,6 +45,19 @@ def _axis_terms(m: int, axis: str) -> tuple[str, int, int]:
     return "centred_user", m + 3, 8
 
 
+def event_seconds(ts: str = "ts") -> Column:
+    """Seconds since ``EPOCH`` of a timestamp column, as double (microsecond exact)."""
+    micros = F.expr(
+        f"timestampdiff(MICROSECOND, CAST('{EPOCH}' AS TIMESTAMP_NTZ), CAST({ts} AS TIMESTAMP_NTZ))"
+    )
+    return micros.cast(T.DoubleType()) / F.lit(1_000_000.0)
+
+
+def event_seconds_sql(ts: str = "ts") -> str:
+    """``event_seconds`` as SQL text."""
+    return f"(CAST(epoch_us({ts}) - epoch_us(TIMESTAMP '{EPOCH}') AS DOUBLE) / 1000000.0)"
+
+
 def imu_from_events(events: DataFrame) -> DataFrame:
     """The raw-CSV-shaped view of ``events`` (Spark rendering of the rule)."""
     eid = F.col("event_id")
@@ -53,11 +66,8 @@ def imu_from_events(events: DataFrame) -> DataFrame:
         "k": F.get_json_object("props", "$.k").try_cast(T.IntegerType()).cast(T.DoubleType()),
         "centred_user": (F.col("user_id") - F.lit(75)).cast(T.DoubleType()),
     }
-    seconds = F.expr(
-        f"timestampdiff(MICROSECOND, CAST('{EPOCH}' AS TIMESTAMP_NTZ), CAST(ts AS TIMESTAMP_NTZ))"
-    ).cast(T.DoubleType()) / F.lit(1_000_000.0)
     cols: list[Column] = [
-        seconds.alias("timestamp"),
+        event_seconds().alias("timestamp"),
         F.col("event_type").alias("activity_id"),
         F.when(eid % HR_EVERY == 0, (F.lit(60) + eid % 40).cast("string"))
         .otherwise(F.lit(MISSING))
@@ -89,7 +99,7 @@ def imu_view_sql(events: str = "events") -> str:
         "centred_user": "CAST(user_id - 75 AS DOUBLE)",
     }
     parts = [
-        f"CAST(epoch_us(ts) - epoch_us(TIMESTAMP '{EPOCH}') AS DOUBLE) / 1000000.0 AS timestamp",
+        f"{event_seconds_sql()} AS timestamp",
         "event_type AS activity_id",
         f"CASE WHEN event_id % {HR_EVERY} = 0 THEN CAST(60 + event_id % 40 AS VARCHAR) "
         f"ELSE '{MISSING}' END AS heart_rate",
