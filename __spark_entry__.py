@@ -27,6 +27,7 @@ from kinesia.ml.evaluate import accuracy_frame
 from kinesia.ml.features import assembler, category_indexer, fit_labels, standardize
 from kinesia.ml.split import HASH_MODULUS, HASH_MULTIPLIER, split_position
 from kinesia.operators import (
+    balance,
     distinct_values,
     drop_empty_rows,
     drop_incomplete,
@@ -67,7 +68,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _imu(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return imu_from_events(_table(spark, sf_dir, "events"))
+    # The test tables are single-row-group files (one scan task); spread them
+    # before the per-row work. A no-op for inputs that are already split.
+    return imu_from_events(balance(_table(spark, sf_dir, "events")))
 
 
 def _rounded(df: DataFrame, cols, digits: int = DIGITS) -> DataFrame:
@@ -118,7 +121,7 @@ def _q_bucket(how: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def q_vector_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem")
+    li = balance(_table(spark, sf_dir, "lineitem"))
     return li.select(
         "l_orderkey", "l_linenumber", magnitude("l_quantity", "l_discount", "l_tax").cast("double").alias("magnitude")
     )

@@ -25,14 +25,15 @@ def magnitude(
     """Magnitude of a three-axis reading held as text or decimals.
 
     Squares and their sum are exact decimals, the root is taken in double and
-    the result is rounded half-up to ``decimal(15,10)``. A missing axis (the
+    the result is rounded half-up (on the double's shortest decimal text) to
+    ``decimal(15,10)``. A missing axis (the
     ``NA`` sentinel, NULL or unparsable text) gives NULL, and so does a
     magnitude too large for ``decimal(15,10)``.
     """
     ax, ay, az = (_axis(c, axis_precision, axis_scale) for c in (x, y, z))
     squares = ax * ax + ay * ay + az * az
     root = F.sqrt(squares.cast(T.DoubleType()))
-    return root.try_cast(T.DecimalType(38, 18)).try_cast(MAGNITUDE_TYPE)
+    return root.try_cast(MAGNITUDE_TYPE)
 
 
 def magnitude_of_doubles(x: str | Column, y: str | Column, z: str | Column, scale: int = 10) -> Column:

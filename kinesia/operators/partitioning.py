@@ -1,0 +1,20 @@
+"""Partition-count guard for inputs that arrive in too few splits."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a frame over at least ``min_partitions`` tasks (default: the cluster's cores).
+
+    A single non-splittable file (gzip CSV, one Parquet row group) is read by one
+    task, and the per-row work after it (parsing, magnitudes) would run on one
+    core. Such a frame is hash-redistributed once; a frame that already has
+    enough partitions (any multi-file table at scale) is returned unchanged, so
+    no shuffle is added there. Only the partition count is looked at, no job runs.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -22,6 +22,11 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # HotSpot does not JIT methods over 8000 bytes of bytecode; wide rows (31
+    # raw columns, 9 decimal magnitudes, 11 averages) generate larger fused
+    # methods, which would then run interpreted. Above this size Spark splits
+    # the stage into separately compiled operators instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 _LOCAL_FALLBACK: dict[str, str] = {}
