@@ -42,7 +42,7 @@ from kinesia.operators import (
 )
 from kinesia.plans.preprocess import preprocess
 from kinesia.plans.stream import passthrough, score_stream, stream_preprocess
-from kinesia.plans.train import test_results, train
+from kinesia.plans.train import hold_out_results, train
 from kinesia.schema import AXES, FEATURES, LABEL, MEASUREMENT_COLUMNS, METRICS, MISSING, OUTPUT_COLUMNS, RAW_COLUMNS
 from kinesia.session import shared_dir
 from kinesia.sinks.files import write_csv, write_outputs
@@ -89,7 +89,7 @@ def _as_double(df: DataFrame, cols) -> DataFrame:
 def _stage_stream_input(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """Land the IMU view as header-less CSV files, as a device gateway would."""
     path = shared_dir(spark, purpose)
-    write_csv(_imu(spark, sf_dir).repartition(STREAM_FILES, "user_id"), path, header=False)
+    write_csv(_imu(spark, sf_dir).repartition(STREAM_FILES), path, header=False)
     return path
 
 
@@ -244,12 +244,12 @@ def q_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _train_on_events(spark: SparkSession, sf_dir: str):
     buckets = preprocess(_imu(spark, sf_dir), bucket_ticks=DAY_TICKS, ordered=False)
-    return train(buckets, seed=1)
+    return train(buckets, seed=1, cut_lineage=True)
 
 
 def q_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = _train_on_events(spark, sf_dir)
-    return _rounded(test_results(result.predictions).drop("nonScaledFeatures"), FEATURES)
+    return _rounded(hold_out_results(result.predictions).drop("nonScaledFeatures"), FEATURES)
 
 
 def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:

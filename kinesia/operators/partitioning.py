@@ -14,6 +14,8 @@ def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     enough partitions (any multi-file table at scale) is returned unchanged, so
     no shuffle is added there. Only the partition count is looked at, no job runs.
     """
+    if df.isStreaming:
+        return df  # micro-batches are sized by the source (files / offsets per trigger)
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df

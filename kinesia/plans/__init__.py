@@ -2,7 +2,7 @@
 
 from kinesia.plans.preprocess import preprocess
 from kinesia.plans.stream import passthrough, score_stream, stream_preprocess
-from kinesia.plans.train import TrainResult, scoring_model, test_results, train
+from kinesia.plans.train import TrainResult, hold_out_results, scoring_model, train
 
 __all__ = [
     "TrainResult",
@@ -11,6 +11,6 @@ __all__ = [
     "score_stream",
     "scoring_model",
     "stream_preprocess",
-    "test_results",
+    "hold_out_results",
     "train",
 ]

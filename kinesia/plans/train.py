@@ -14,6 +14,7 @@ from kinesia.ml.evaluate import accuracy
 from kinesia.ml.features import assembler, category_indexer, fit_labels, scaler
 from kinesia.ml.split import hash_split
 from kinesia.schema import FEATURES, LABEL
+from kinesia.session import ensure_checkpoint_dir
 from kinesia.sinks.files import write_outputs, write_single_file
 from kinesia.sinks.models import save_model
 
@@ -47,7 +48,7 @@ def fitted_scaler(model: PipelineModel) -> StandardScalerModel:
     return next(s for s in model.stages if isinstance(s, StandardScalerModel))
 
 
-def test_results(predictions: DataFrame) -> DataFrame:
+def hold_out_results(predictions: DataFrame) -> DataFrame:
     """Hold-out predictions as the reference stored them (K6 projection)."""
     return predictions.drop(*DROPPED_FROM_RESULTS)
 
@@ -65,6 +66,8 @@ def train(
     split_key: Sequence[str] | str | None = None,
     max_categories: int | None = None,
     out_dir: str | None = None,
+    single_file_results: bool = False,
+    cut_lineage: bool = False,
 ) -> TrainResult:
     """Fit label indexer, assembler, scaler, category indexer, network and converter.
 
@@ -72,13 +75,22 @@ def train(
     scaler and category indexer are pipeline stages fitted on the training part
     only (the reference fitted them before the split). The split is a hash of
     ``split_key`` (default: all selected columns), so it survives recomputation.
-    The training part is persisted for the iterative fit and released after.
+    The training part is persisted for the iterative fit and released after;
+    with ``cut_lineage`` the input is first checkpointed to the shared
+    checkpoint folder, so a lost executor's partitions are re-read from there
+    instead of recomputed from the raw scan (use it when ``df`` is a derived
+    aggregate rather than a Parquet table).
 
     With ``out_dir``: model to ``<out>/model`` (K7), scaler to ``<out>/scaler`` (K8),
-    hold-out predictions to ``<out>/test_results`` as one file (K6).
+    hold-out predictions to ``<out>/test_results`` (K6). ``single_file_results``
+    writes them as one file like the reference; that runs the write in one task,
+    so it is off by default.
     """
     features = list(features)
     data = df.select(*features, label) if split_key is None else df
+    if cut_lineage:
+        ensure_checkpoint_dir(data.sparkSession)
+        data = data.checkpoint(eager=True)
     labels_model = fit_labels(data, label)
     labels = list(labels_model.labels)
     key = split_key if split_key is not None else [*features, label]
@@ -100,8 +112,12 @@ def train(
     if out_dir:
         save_model(model, f"{out_dir}/model")
         save_model(fitted_scaler(model), f"{out_dir}/scaler")
-        write_single_file(test_results(predictions), f"{out_dir}/test_results")
+        results, path = hold_out_results(predictions), f"{out_dir}/test_results"
+        if single_file_results:
+            write_single_file(results, path)
+        else:
+            write_outputs([results], [path])
     return TrainResult(model, predictions, labels, train_df, test_df)
 
 
-__all__ = ["TrainResult", "fitted_scaler", "scoring_model", "test_results", "train", "write_outputs"]
+__all__ = ["TrainResult", "fitted_scaler", "hold_out_results", "scoring_model", "train"]

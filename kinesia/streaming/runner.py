@@ -71,11 +71,14 @@ def latest_rows(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFram
     """Merge update-mode batches: per key, the row from the latest batch wins.
 
     One aggregate keyed by the output key (``max_by`` over the batch id): a
-    shuffle on the key, no driver step.
+    shuffle on the key, no driver step. Columns keep the batches' order.
     """
     batches = spark.read.parquet(path)
     values = [c for c in batches.columns if c not in set(keys) and c != BATCH_COLUMN]
     latest = batches.groupBy(*keys).agg(
         F.max_by(F.struct(*[F.col(c) for c in values]), F.col(BATCH_COLUMN)).alias("_row")
     )
-    return latest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values])
+    key_set = set(keys)
+    return latest.select(
+        *[F.col(c) if c in key_set else F.col(f"_row.{c}").alias(c) for c in batches.columns if c != BATCH_COLUMN]
+    )
