@@ -89,7 +89,9 @@ def _as_double(df: DataFrame, cols) -> DataFrame:
 def _stage_stream_input(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """Land the IMU view as header-less CSV files, as a device gateway would."""
     path = shared_dir(spark, purpose)
-    write_csv(_imu(spark, sf_dir).repartition(STREAM_FILES), path, header=False)
+    # at least STREAM_FILES files, so the stream sees several micro-batches;
+    # larger inputs keep their own (larger) number of files
+    write_csv(balance(_imu(spark, sf_dir), STREAM_FILES), path, header=False)
     return path
 
 

@@ -27,6 +27,11 @@ DEFAULT_CONF = {
     # methods, which would then run interpreted. Above this size Spark splits
     # the stage into separately compiled operators instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Streaming window state off the JVM heap: the open (user, activity,
+    # window) groups of a large fleet do not fit comfortably on-heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 _LOCAL_FALLBACK: dict[str, str] = {}
