@@ -43,7 +43,17 @@ from kinesia.operators import (
 from kinesia.plans.preprocess import preprocess
 from kinesia.plans.stream import passthrough, score_stream, stream_preprocess
 from kinesia.plans.train import hold_out_results, train
-from kinesia.schema import AXES, FEATURES, LABEL, MEASUREMENT_COLUMNS, METRICS, MISSING, OUTPUT_COLUMNS, RAW_COLUMNS
+from kinesia.schema import (
+    AXES,
+    FEATURES,
+    HR_FREQ_HZ,
+    IMU_FREQ_HZ,
+    LABEL,
+    MEASUREMENT_COLUMNS,
+    METRICS,
+    MISSING,
+    OUTPUT_COLUMNS,
+)
 from kinesia.session import shared_dir
 from kinesia.sinks.files import write_csv, write_outputs
 from kinesia.sinks.kafka import kafka_payload
@@ -103,6 +113,12 @@ def q_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out, ["timestamp", *FEATURES])
 
 
+def q_preprocess_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job with the reference's own bucket: round(100 Hz / 9 Hz) = 11 ticks (0.11 s)."""
+    out = preprocess(_imu(spark, sf_dir), imu_freq_hz=IMU_FREQ_HZ, hr_freq_hz=HR_FREQ_HZ)
+    return _rounded(out, ["timestamp", *FEATURES])
+
+
 def _events_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _table(spark, sf_dir, "events")
     return ev.select(
@@ -322,6 +338,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "preprocess": q_preprocess,
+        "preprocess_default": q_preprocess_default,
         "bucket_avg": _q_bucket("avg"),
         "bucket_sum": _q_bucket("sum"),
         "bucket_max": _q_bucket("max"),
@@ -393,7 +410,7 @@ reduced AS (
   FROM kept)"""
 
 
-def _buckets_sql() -> str:
+def _buckets_sql(width: int = DAY_TICKS) -> str:
     avgs = ",\n    ".join(f"avg({c}) AS {c}" for c in FEATURES)
     outs = ", ".join(
         [f"{_round('timestamp')} AS timestamp", "user_id", "activity_id"] + [f"{_round(c)} AS {c}" for c in FEATURES]
@@ -401,17 +418,17 @@ def _buckets_sql() -> str:
     not_null = " AND ".join(f"{c} IS NOT NULL" for c in OUTPUT_COLUMNS)
     return f"""WITH {_reduced_sql()},
 agg AS (
-  SELECT user_id, activity_id, tick // {DAY_TICKS} AS bucket,
+  SELECT user_id, activity_id, CAST(trunc(tick / {width}) AS BIGINT) AS bucket,
     {_dec('avg(timestamp)', 10, 2)} AS timestamp,
     {avgs}
   FROM reduced
   WHERE user_id IS NOT NULL AND activity_id IS NOT NULL
-  GROUP BY user_id, activity_id, tick // {DAY_TICKS}),
+  GROUP BY user_id, activity_id, CAST(trunc(tick / {width}) AS BIGINT)),
 buckets AS (SELECT {outs} FROM agg WHERE {not_null})"""
 
 
-def sql_preprocess() -> str:
-    return f"{_buckets_sql()}\nSELECT * FROM buckets"
+def sql_preprocess(width: int = DAY_TICKS) -> str:
+    return f"{_buckets_sql(width)}\nSELECT * FROM buckets"
 
 
 def _sql_bucket(how: str) -> str:
@@ -468,6 +485,7 @@ SELECT {_magnitude_cols_sql()} FROM reduced"""
     not_null = " AND ".join(f"{c} IS NOT NULL" for c in ["timestamp", "activity_id", "heart_rate", "user_id", *METRICS])
     return {
         "preprocess": sql_preprocess(),
+        "preprocess_default": sql_preprocess(bucket_width(IMU_FREQ_HZ, HR_FREQ_HZ)),
         "bucket_avg": _sql_bucket("avg"),
         "bucket_sum": _sql_bucket("sum"),
         "bucket_max": _sql_bucket("max"),
@@ -511,4 +529,4 @@ FROM events""",
     }
 
 
-__all__ = ["entry", "oracle_sql", "queries", "RAW_COLUMNS"]
+__all__ = ["entry", "oracle_sql", "queries"]
