@@ -18,6 +18,8 @@ from kinesia.session import ensure_checkpoint_dir
 from kinesia.sinks.files import write_outputs, write_single_file
 from kinesia.sinks.models import save_model
 
+# Upper bound on distinct labels (the output layer width); the reference has 9.
+MAX_CLASSES = 1000
 # Columns the reference drops before writing the hold-out predictions (K6).
 DROPPED_FROM_RESULTS = ("features", "indexedLabel", "indexedFeatures", "rawPrediction", "probability", "prediction")
 
@@ -53,6 +55,14 @@ def hold_out_results(predictions: DataFrame) -> DataFrame:
     return predictions.drop(*DROPPED_FROM_RESULTS)
 
 
+def _check_class_count(df: DataFrame, label: str, max_classes: int) -> None:
+    """Refuse a label column with more than ``max_classes`` values before the label
+    indexer brings its distinct values to the driver (one bounded distinct job)."""
+    seen = df.select(label).distinct().limit(max_classes + 1).count()
+    if seen > max_classes:
+        raise ValueError(f"{label!r} has more than {max_classes} distinct values; not a class label")
+
+
 def train(
     df: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -68,6 +78,7 @@ def train(
     out_dir: str | None = None,
     single_file_results: bool = False,
     cut_lineage: bool = False,
+    max_classes: int = MAX_CLASSES,
 ) -> TrainResult:
     """Fit label indexer, assembler, scaler, category indexer, network and converter.
 
@@ -91,6 +102,7 @@ def train(
     if cut_lineage:
         ensure_checkpoint_dir(data.sparkSession)
         data = data.checkpoint(eager=True)
+    _check_class_count(data, label, max_classes)
     labels_model = fit_labels(data, label)
     labels = list(labels_model.labels)
     key = split_key if split_key is not None else [*features, label]

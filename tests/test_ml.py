@@ -82,3 +82,9 @@ def test_train_fits_in_sample(spark, buckets):
     scored = result.model.transform(result.train)
     assert accuracy(scored) > 0.5  # random labels: the network can only memorise
     assert hold_out_results(result.predictions).columns[-1] == "predictedLabel"
+
+
+def test_train_refuses_non_class_label(spark):
+    df = spark.range(50).selectExpr(*[f"CAST(id AS DOUBLE) AS {c}" for c in FEATURES], "CAST(id AS STRING) AS activity_id")
+    with pytest.raises(ValueError, match="distinct values"):
+        train(df, max_classes=10)
