@@ -6,7 +6,6 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 
 def union_all(*frames: DataFrame, by_name: bool = True) -> DataFrame:
