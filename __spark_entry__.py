@@ -413,13 +413,14 @@ reduced AS (
 def _buckets_sql(width: int = DAY_TICKS) -> str:
     avgs = ",\n    ".join(f"avg({c}) AS {c}" for c in FEATURES)
     outs = ", ".join(
-        [f"{_round('timestamp')} AS timestamp", "user_id", "activity_id"] + [f"{_round(c)} AS {c}" for c in FEATURES]
+        [f"{_round(_dec('timestamp', 10, 2))} AS timestamp", "user_id", "activity_id"]
+        + [f"{_round(c)} AS {c}" for c in FEATURES]
     )
     not_null = " AND ".join(f"{c} IS NOT NULL" for c in OUTPUT_COLUMNS)
     return f"""WITH {_reduced_sql()},
 agg AS (
   SELECT user_id, activity_id, CAST(trunc(tick / {width}) AS BIGINT) AS bucket,
-    {_dec('avg(timestamp)', 10, 2)} AS timestamp,
+    avg(timestamp) AS timestamp,
     {avgs}
   FROM reduced
   WHERE user_id IS NOT NULL AND activity_id IS NOT NULL

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinesia.functions.time import bucket_index, time_tick
 from kinesia.schema import BUCKET_TIME_TYPE, FEATURES, OUTPUT_COLUMNS, TICKS_PER_SECOND
@@ -55,13 +56,17 @@ def bucketed_mean(
     measures: Sequence[str] = FEATURES,
     output: Sequence[str] = OUTPUT_COLUMNS,
     ticks_per_second: int = TICKS_PER_SECOND,
+    time_type: T.DataType = BUCKET_TIME_TYPE,
 ) -> DataFrame:
     """Per key and time bucket, the mean of time and of every measure.
 
     bucket = int(round(t * 100) / width). Rows with a NULL key are dropped (the
     reference crashed on them). A bucket survives only if no output column is
     NULL, i.e. every measure has at least one reading in it (F4). The bucket
-    time is the mean over all its rows, as ``decimal(10,2)``.
+    time is the mean over all its rows, then cast to ``time_type``
+    (``decimal(10,2)`` as in the reference, which holds up to 10^8 s; pass a
+    wider type for epoch timestamps). As in the reference the cast comes after
+    the NULL test, so an overflowing time gives a NULL time, not a lost bucket.
     """
     bucket = bucket_index(time_tick(time_col, ticks_per_second), width)
     keyed = df
@@ -71,8 +76,8 @@ def bucketed_mean(
         F.avg(time_col).alias(time_col),
         *[F.avg(m).alias(m) for m in measures],
     )
-    typed = grouped.withColumn(time_col, F.col(time_col).try_cast(BUCKET_TIME_TYPE))
-    return typed.na.drop(how="any", subset=list(output)).select(*output)
+    complete = grouped.na.drop(how="any", subset=list(output))
+    return complete.withColumn(time_col, F.col(time_col).try_cast(time_type)).select(*output)
 
 
 def distinct_values(df: DataFrame, *cols: str) -> DataFrame:

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from kinesia.functions.time import bucket_width
 from kinesia.operators.aggregate import bucketed_mean
 from kinesia.operators.filters import drop_empty_rows
 from kinesia.operators.projections import with_magnitudes
-from kinesia.schema import HR_FREQ_HZ, IMU_FREQ_HZ, KEY_COLUMNS, MISSING
+from kinesia.schema import BUCKET_TIME_TYPE, HR_FREQ_HZ, IMU_FREQ_HZ, KEY_COLUMNS, MISSING
 
 
 def preprocess(
@@ -19,12 +20,14 @@ def preprocess(
     hr_freq_hz: float = HR_FREQ_HZ,
     sentinel: str = MISSING,
     ordered: bool = True,
+    time_type: T.DataType = BUCKET_TIME_TYPE,
 ) -> DataFrame:
     """Clean, reduce and bucket raw sensor rows.
 
     ``raw`` has the raw CSV's columns (text measurements with the sentinel).
     The bucket is ``bucket_ticks`` hundredths of a second wide; by default the
-    number of IMU samples per heart-rate sample, round(100 / 9) = 11.
+    number of IMU samples per heart-rate sample, round(100 / 9) = 11. The bucket
+    time is ``decimal(10,2)`` seconds unless ``time_type`` says otherwise.
 
     Plan: scan -> filter -> one projection (magnitudes) -> partial aggregate ->
     hash shuffle on (user, activity, bucket) -> final aggregate -> filter ->
@@ -35,7 +38,7 @@ def preprocess(
     width = bucket_ticks if bucket_ticks is not None else bucket_width(imu_freq_hz, hr_freq_hz)
     kept = drop_empty_rows(raw, KEY_COLUMNS, sentinel)
     reduced = with_magnitudes(kept, sentinel=sentinel)
-    out = bucketed_mean(reduced, width)
+    out = bucketed_mean(reduced, width, time_type=time_type)
     if ordered:
         out = out.orderBy("timestamp", "user_id", "activity_id")
     return out

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kinesia.functions.time import time_tick
 from kinesia.schema import BUCKET_TIME_TYPE, FEATURES, OUTPUT_COLUMNS, TICKS_PER_SECOND
@@ -35,6 +36,7 @@ def stream_bucketed_mean(
     output: Sequence[str] = OUTPUT_COLUMNS,
     ticks_per_second: int = TICKS_PER_SECOND,
     with_bucket: bool = False,
+    time_type: T.DataType = BUCKET_TIME_TYPE,
 ) -> DataFrame:
     """Streaming twin of ``bucketed_mean``: same rows for every closed bucket.
 
@@ -50,8 +52,8 @@ def stream_bucketed_mean(
         F.avg(time_col).alias(time_col),
         *[F.avg(m).alias(m) for m in measures],
     )
-    typed = grouped.withColumn(time_col, F.col(time_col).try_cast(BUCKET_TIME_TYPE))
-    kept = typed.na.drop(how="any", subset=list(output))
+    complete = grouped.na.drop(how="any", subset=list(output))
+    kept = complete.withColumn(time_col, F.col(time_col).try_cast(time_type))
     if not with_bucket:
         return kept.select(*output)
     bucket = (F.unix_millis(F.col("_window.start")) / F.lit(width_ms)).cast("bigint").alias("bucket")

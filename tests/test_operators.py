@@ -145,3 +145,14 @@ def test_balance_only_when_under_partitioned(spark):
     assert balance(small, 4).rdd.getNumPartitions() == 4
     wide = spark.range(100).repartition(6)
     assert balance(wide, 4) is wide
+
+
+def test_bucket_time_overflow_keeps_the_bucket(spark):
+    rows = [raw_row(1.7e9, "walking", "a", "100"), raw_row(1.7e9 + 0.01, "walking", "a", "NA")]
+    reduced = _reduced(spark, rows)
+    narrow = bucketed_mean(reduced, 11).collect()
+    assert len(narrow) == 1 and narrow[0].timestamp is None  # decimal(10,2) overflows: NULL, row kept
+    from pyspark.sql import types as T
+
+    wide = bucketed_mean(reduced, 11, time_type=T.DecimalType(16, 2)).collect()
+    assert wide[0].timestamp == Decimal("1700000000.01")
