@@ -1,0 +1,22 @@
+"""Spark ML stages of the training job: features, split, classifier, evaluation."""
+
+from kinesia.ml.classifier import label_converter, mlp
+from kinesia.ml.evaluate import accuracy, accuracy_frame
+from kinesia.ml.features import assembler, category_indexer, fit_labels, label_indexer, scaler, standardize
+from kinesia.ml.split import hash_split, random_split, split_position
+
+__all__ = [
+    "accuracy",
+    "accuracy_frame",
+    "assembler",
+    "category_indexer",
+    "fit_labels",
+    "hash_split",
+    "label_converter",
+    "label_indexer",
+    "mlp",
+    "random_split",
+    "scaler",
+    "split_position",
+    "standardize",
+]
