@@ -59,8 +59,9 @@ from kinesia.sinks.files import write_csv, write_outputs
 from kinesia.sinks.kafka import kafka_payload
 from kinesia.sources.csv import read_csv, read_csv_stream
 from kinesia.sources.imu_view import event_seconds, event_seconds_sql, imu_from_events, imu_view_sql
-from kinesia.sources.parquet import read_features
+from kinesia.sources.parquet import read_features, read_parquet_stream
 from kinesia.streaming.runner import await_all, latest_rows, parquet_batches, start_outputs
+from kinesia.streaming.windows import stream_bucketed_mean
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DAY_TICKS = 86_400 * 100  # one-day buckets: the events table has ~1 row per user per 10 h
@@ -325,6 +326,39 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out, ["timestamp", *FEATURES])
 
 
+EVENTS_STREAM_OUTPUT = ("timestamp", "user_id", "event_type", "value", "k")
+
+
+def q_stream_bucket_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 on the events table read as a Parquet stream: day-window means per user and type."""
+    schema = _table(spark, sf_dir, "events").schema
+    stream = read_parquet_stream(spark, sf_dir, schema, file_glob="events.parquet")
+    timed = stream.select(
+        "user_id",
+        "event_type",
+        event_seconds().alias("timestamp"),
+        "value",
+        F.get_json_object("props", "$.k").try_cast("int").alias("k"),
+    )
+    frame = stream_bucketed_mean(
+        timed,
+        DAY_TICKS,
+        watermark=STREAM_LATENESS,
+        keys=("user_id", "event_type"),
+        measures=("value", "k"),
+        output=EVENTS_STREAM_OUTPUT,
+        with_bucket=True,
+    )
+    out, ckpt = shared_dir(spark, "stream-events-out"), shared_dir(spark, "stream-events-ckpt")
+
+    def writer(df, i):
+        return df.writeStream.outputMode("update").foreachBatch(parquet_batches(out))
+
+    await_all(start_outputs([frame], writer, ckpt, available_now=True))
+    merged = latest_rows(spark, out, ["user_id", "event_type", "bucket"])
+    return _rounded(merged, ["timestamp", "value", "k"])
+
+
 def q_kafka_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
     return kafka_payload(ev, "user_id")
@@ -367,6 +401,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_identity": q_stream_identity,
         "stream_preprocess": q_stream_preprocess,
         "stream_score": q_stream_score,
+        "stream_bucket_avg": q_stream_bucket_avg,
         "kafka_payload": q_kafka_payload,
     }
 
@@ -442,6 +477,18 @@ SELECT user_id, event_type, bucket, {_round(f'{how}(value)')} AS value, {_round(
 FROM e GROUP BY user_id, event_type, bucket"""
 
 
+def _sql_stream_events() -> str:
+    seconds = event_seconds_sql()
+    bucket = f"CAST(round({seconds} * 100) AS BIGINT) // {DAY_TICKS}"
+    return f"""WITH e AS (
+  SELECT user_id, event_type, {bucket} AS bucket, {seconds} AS seconds, value,
+    TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
+  FROM events)
+SELECT user_id, event_type, bucket, {_round(_dec('avg(seconds)', 10, 2))} AS timestamp,
+  {_round('avg(value)')} AS value, {_round('avg(k)')} AS k
+FROM e GROUP BY user_id, event_type, bucket"""
+
+
 def _imu_select(cols: str, where: str = "") -> str:
     return f"WITH imu AS ({imu_view_sql()})\nSELECT {cols} FROM imu {where}"
 
@@ -524,6 +571,7 @@ SELECT e.vec_id, r.label_text, r.label_index FROM embeddings e JOIN r ON CAST(e.
         "parquet_roundtrip": f"{_buckets_sql()}\nSELECT {', '.join([*FEATURES, LABEL])} FROM buckets",
         "stream_identity": _stream_typed_sql(),
         "stream_preprocess": sql_preprocess(),
+        "stream_bucket_avg": _sql_stream_events(),
         "kafka_payload": """SELECT CAST(user_id AS VARCHAR) AS key,
   to_json(struct_pack(event_id := event_id, user_id := user_id, event_type := event_type, value := value)) AS value
 FROM events""",

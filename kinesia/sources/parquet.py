@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from kinesia.schema import FEATURES, LABEL
 
@@ -26,3 +27,24 @@ def read_features(
     columns.
     """
     return spark.read.parquet(path).select(*features, label)
+
+
+def read_parquet_stream(
+    spark: SparkSession,
+    directory: str,
+    schema: T.StructType,
+    *,
+    file_glob: str | None = None,
+    max_files_per_trigger: int | None = 1,
+) -> DataFrame:
+    """Parquet files landing in ``directory`` as a stream (S2's Parquet twin).
+
+    A streaming source reads directories only; ``file_glob`` picks the files
+    of one table when several share a folder.
+    """
+    reader = spark.readStream.schema(schema)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    return reader.parquet(directory)
