@@ -40,6 +40,7 @@ def with_magnitudes(
     *,
     heart_rate: str | None = "heart_rate",
     sentinel: str = MISSING,
+    exact: bool = True,
 ) -> DataFrame:
     """Replace each metric's ``_x/_y/_z`` columns by its magnitude.
 
@@ -62,7 +63,7 @@ def with_magnitudes(
                 out.append(F.col(c))
         elif c.endswith("_x"):
             x, y, z = (f"{metric}_{a}" for a in AXES)
-            out.append(magnitude(x, y, z).alias(metric))
+            out.append(magnitude(x, y, z, exact=exact).alias(metric))
     missing = [f"{m}_{a}" for m in metrics for a in AXES if f"{m}_{a}" not in df.columns]
     if missing:
         raise ValueError(f"axis columns not found: {missing}")

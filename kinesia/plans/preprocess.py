@@ -21,6 +21,7 @@ def preprocess(
     sentinel: str = MISSING,
     ordered: bool = True,
     time_type: T.DataType = BUCKET_TIME_TYPE,
+    exact_magnitudes: bool = True,
 ) -> DataFrame:
     """Clean, reduce and bucket raw sensor rows.
 
@@ -28,6 +29,8 @@ def preprocess(
     The bucket is ``bucket_ticks`` hundredths of a second wide; by default the
     number of IMU samples per heart-rate sample, round(100 / 9) = 11. The bucket
     time is ``decimal(10,2)`` seconds unless ``time_type`` says otherwise.
+    ``exact_magnitudes=False`` trades the exact decimal squares for double
+    arithmetic (see ``functions.magnitude``), the per-row hot spot at scale.
 
     Plan: scan -> filter -> one projection (magnitudes) -> partial aggregate ->
     hash shuffle on (user, activity, bucket) -> final aggregate -> filter ->
@@ -37,7 +40,7 @@ def preprocess(
     """
     width = bucket_ticks if bucket_ticks is not None else bucket_width(imu_freq_hz, hr_freq_hz)
     kept = drop_empty_rows(raw, KEY_COLUMNS, sentinel)
-    reduced = with_magnitudes(kept, sentinel=sentinel)
+    reduced = with_magnitudes(kept, sentinel=sentinel, exact=exact_magnitudes)
     out = bucketed_mean(reduced, width, time_type=time_type)
     if ordered:
         out = out.orderBy("timestamp", "user_id", "activity_id")

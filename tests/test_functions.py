@@ -101,3 +101,15 @@ def test_magnitude_accepts_decimal_columns(spark):
         *[F.col(c).cast("decimal(15,10)").alias(c) for c in "xyz"]
     )
     assert df.select(magnitude("x", "y", "z")).first()[0] == Decimal("10.2309515840")
+
+
+def test_fast_magnitude_agrees_with_exact(spark):
+    rnd = random.Random(11)
+    rows = [tuple(f"{rnd.uniform(-500, 500):.{rnd.randint(0, 6)}f}" for _ in range(3)) for _ in range(3000)]
+    rows.append(("NA", "1", "2"))
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    got = df.select(
+        magnitude("x", "y", "z").alias("e"), magnitude("x", "y", "z", exact=False).alias("f")
+    ).collect()
+    assert all((r.e is None) == (r.f is None) for r in got)
+    assert max(abs(r.e - r.f) for r in got if r.e is not None) <= Decimal("1e-10")
