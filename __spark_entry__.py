@@ -40,6 +40,7 @@ from kinesia.operators import (
     union_all,
     with_magnitudes,
 )
+from kinesia.plans.jobs import preprocess_job
 from kinesia.plans.preprocess import preprocess
 from kinesia.plans.stream import passthrough, score_stream, stream_preprocess
 from kinesia.plans.train import hold_out_results, train
@@ -277,6 +278,14 @@ def q_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, path)
 
 
+def q_preprocess_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job as deployed: raw CSV with header (S1) -> J1 -> Parquet (K1)."""
+    raw, out = shared_dir(spark, "job-raw-csv"), shared_dir(spark, "job-buckets")
+    write_csv(_imu(spark, sf_dir), raw, header=True)
+    preprocess_job(spark, raw, out, bucket_ticks=DAY_TICKS)
+    return _rounded(spark.read.parquet(out), ["timestamp", *FEATURES])
+
+
 def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "parquet-roundtrip")
     write_outputs([preprocess(_imu(spark, sf_dir), bucket_ticks=DAY_TICKS, ordered=False)], [path])
@@ -397,6 +406,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "accuracy": q_accuracy,
         "train_score": q_train_score,
         "csv_roundtrip": q_csv_roundtrip,
+        "preprocess_job": q_preprocess_job,
         "parquet_roundtrip": q_parquet_roundtrip,
         "stream_identity": q_stream_identity,
         "stream_preprocess": q_stream_preprocess,
@@ -568,6 +578,7 @@ SELECT e.vec_id, r.label_text, r.label_index FROM embeddings e JOIN r ON CAST(e.
         "accuracy": """SELECT round(avg(CASE WHEN CAST(quality AS DOUBLE) = CAST(toxic AS DOUBLE) THEN 1.0 ELSE 0.0 END), 6)
   AS accuracy, count(*) AS n FROM labels""",
         "csv_roundtrip": imu_view_sql(),
+        "preprocess_job": sql_preprocess(),
         "parquet_roundtrip": f"{_buckets_sql()}\nSELECT {', '.join([*FEATURES, LABEL])} FROM buckets",
         "stream_identity": _stream_typed_sql(),
         "stream_preprocess": sql_preprocess(),
