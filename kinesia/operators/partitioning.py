@@ -16,7 +16,11 @@ def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """
     if df.isStreaming:
         return df  # micro-batches are sized by the source (files / offsets per trigger)
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except NotImplementedError:
+        return df  # a Spark Connect client cannot see partitions; leave the plan as is
+    if current >= target:
         return df
     return df.repartition(target)

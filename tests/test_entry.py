@@ -51,3 +51,16 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(entry.oracle_sql()[name])
     assert sorted(df.columns) == sorted(rel.columns)
     assert _bag(df.columns, rows) == _bag(rel.columns, rel.fetchall())
+
+
+@pytest.mark.parametrize("name", ["preprocess", "bucket_avg", "stream_bucket_avg"])
+def test_time_logic_is_independent_of_session_zone(spark, duck, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = entry.queries()[name](spark, SMOKE)
+        rows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    rel = duck.sql(entry.oracle_sql()[name])
+    assert _bag(df.columns, rows) == _bag(rel.columns, rel.fetchall())
