@@ -57,6 +57,7 @@ def bucketed_mean(
     output: Sequence[str] = OUTPUT_COLUMNS,
     ticks_per_second: int = TICKS_PER_SECOND,
     time_type: T.DataType = BUCKET_TIME_TYPE,
+    tick_col: str | None = None,
 ) -> DataFrame:
     """Per key and time bucket, the mean of time and of every measure.
 
@@ -67,8 +68,11 @@ def bucketed_mean(
     (``decimal(10,2)`` as in the reference, which holds up to 10^8 s; pass a
     wider type for epoch timestamps). As in the reference the cast comes after
     the NULL test, so an overflowing time gives a NULL time, not a lost bucket.
+    ``tick_col`` names an integer tick column already in the frame (the
+    reference's ``ts``); by default the tick is derived from ``time_col``.
     """
-    bucket = bucket_index(time_tick(time_col, ticks_per_second), width)
+    tick = F.col(tick_col) if tick_col else time_tick(time_col, ticks_per_second)
+    bucket = bucket_index(tick, width)
     keyed = df
     for k in keys:
         keyed = keyed.where(F.col(k).isNotNull())

@@ -156,3 +156,11 @@ def test_bucket_time_overflow_keeps_the_bucket(spark):
 
     wide = bucketed_mean(reduced, 11, time_type=T.DecimalType(16, 2)).collect()
     assert wide[0].timestamp == Decimal("1700000000.01")
+
+
+def test_bucketed_mean_with_precomputed_ticks(spark):
+    rows = [raw_row(t / 100, "walking", "a", "100" if t % 11 == 0 else "NA") for t in range(0, 22)]
+    reduced = _reduced(spark, rows).withColumn("ts", F.round(F.col("timestamp") * 100).cast("int"))
+    derived = bucketed_mean(reduced, 11).collect()
+    given = bucketed_mean(reduced, 11, tick_col="ts").collect()
+    assert sorted(derived) == sorted(given) and len(given) == 2
