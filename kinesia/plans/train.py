@@ -86,8 +86,8 @@ def train(
     scaler and category indexer are pipeline stages fitted on the training part
     only (the reference fitted them before the split). The split is a hash of
     ``split_key`` (default: all selected columns), so it survives recomputation.
-    The training part is persisted for the iterative fit and released after;
-    with ``cut_lineage`` the input is first checkpointed to the shared
+    The iterative fit runs over Spark ML's own cached copy of the stacked
+    training vectors; with ``cut_lineage`` the input is first checkpointed to the shared
     checkpoint folder, so a lost executor's partitions are re-read from there
     instead of recomputed from the raw scan (use it when ``df`` is a derived
     aggregate rather than a Parquet table).
@@ -115,11 +115,11 @@ def train(
         mlp(len(features), len(labels), hidden=hidden, max_iter=max_iter, block_size=block_size, seed=seed),
         label_converter(labels),
     ]
-    cached = train_df.persist()
-    try:
-        model = Pipeline(stages=stages).fit(cached)
-    finally:
-        cached.unpersist()
+    # No persist here: the network caches its own stacked copy of the input
+    # (measured: each input row is evaluated once over all iterations), and
+    # the two scaler/indexer passes before it re-read Parquet or the checkpoint.
+    # A second cached copy of the training set would double executor memory.
+    model = Pipeline(stages=stages).fit(train_df)
     predictions = model.transform(test_df)
     if out_dir:
         save_model(model, f"{out_dir}/model")
