@@ -88,3 +88,12 @@ def test_train_refuses_non_class_label(spark):
     df = spark.range(50).selectExpr(*[f"CAST(id AS DOUBLE) AS {c}" for c in FEATURES], "CAST(id AS STRING) AS activity_id")
     with pytest.raises(ValueError, match="distinct values"):
         train(df, max_classes=10)
+
+
+def test_label_index_order_for_activity_labels(spark):
+    from kinesia.schema import ACTIVITY_LABELS
+
+    # the most frequent activity gets index 0, as in the reference's saved label list
+    rows = [(label,) for i, label in enumerate(ACTIVITY_LABELS) for _ in range(len(ACTIVITY_LABELS) - i)]
+    model = fit_labels(spark.createDataFrame(rows, "activity_id string"), "activity_id")
+    assert model.labels == list(ACTIVITY_LABELS)
