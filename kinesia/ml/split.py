@@ -18,13 +18,16 @@ from pyspark.sql import functions as F
 HASH_MULTIPLIER = 2654435761
 HASH_MODULUS = 4294967296
 
+_INTEGRAL = {"tinyint", "smallint", "int", "bigint"}
+
 
 def split_position(key: Sequence[str] | str, seed: int = 0, integral: bool | None = None) -> Column:
     """A position in [0, 1) per row from its key.
 
     A single integral id column is hashed directly (Fibonacci hashing spreads
-    consecutive ids evenly); several columns are first combined with
-    ``xxhash64``. Decimal arithmetic keeps the product exact.
+    consecutive ids evenly); other keys are first combined with ``xxhash64``.
+    ``integral`` defaults to "one column given". Decimal arithmetic keeps the
+    product exact.
     """
     cols = [key] if isinstance(key, str) else list(key)
     if integral is None:
@@ -47,7 +50,10 @@ def hash_split(
     """
     if not 0.0 < train_fraction < 1.0:
         raise ValueError("train_fraction must lie strictly between 0 and 1")
-    pos = split_position(key, seed, integral)
+    cols = [key] if isinstance(key, str) else list(key)
+    if integral is None:
+        integral = len(cols) == 1 and dict(df.dtypes)[cols[0]] in _INTEGRAL
+    pos = split_position(cols, seed, integral)
     return df.where(pos < F.lit(train_fraction)), df.where(pos >= F.lit(train_fraction))
 
 

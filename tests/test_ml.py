@@ -97,3 +97,9 @@ def test_label_index_order_for_activity_labels(spark):
     rows = [(label,) for i, label in enumerate(ACTIVITY_LABELS) for _ in range(len(ACTIVITY_LABELS) - i)]
     model = fit_labels(spark.createDataFrame(rows, "activity_id string"), "activity_id")
     assert model.labels == list(ACTIVITY_LABELS)
+
+
+def test_hash_split_on_text_key(spark):
+    df = spark.range(1000).select(F.concat(F.lit("u"), F.col("id").cast("string")).alias("user"))
+    train_part, test_part = hash_split(df, "user", 0.8)
+    assert train_part.count() + test_part.count() == 1000 and 700 < train_part.count() < 900
