@@ -86,3 +86,23 @@ def test_stream_scores_equal_batch_scores(spark, events):
     assert streamed.count() == batch_scores.count()
     assert streamed.exceptAll(batch_scores).count() == 0
     assert set(FEATURES) <= set(streamed.columns)
+
+
+def test_await_any_times_out_while_queries_run(spark):
+    from kinesia.sinks.console import console_stream_writer
+    from kinesia.streaming.runner import await_any
+
+    empty = shared_dir(spark, "test-empty-landing")
+    spark.range(0).write.mode("overwrite").csv(empty)  # folder exists, no rows
+    stream = read_csv_stream(spark, empty)
+    queries = start_outputs(
+        [stream], lambda df, i: console_stream_writer(df).trigger(processingTime="1 second"),
+        shared_dir(spark, "test-await-ckpt"),
+    )
+    try:
+        assert await_any(spark, queries, timeout_ms=1500) is False
+        assert queries[0].isActive
+    finally:
+        for q in queries:
+            q.stop()
+    assert not queries[0].isActive
