@@ -38,3 +38,20 @@ def test_run_batch_writes_or_shows(spark):
     run_batch([spark.range(3)], [path])
     assert spark.read.parquet(path).count() == 3
     run_batch([spark.range(3)], console=True)  # prints from the JVM
+
+
+def test_command_line_runs_the_three_jobs(spark, events):
+    from kinesia.cli import main
+
+    raw = shared_dir(spark, "cli-raw")
+    write_csv(imu_from_events(events), raw, header=True)
+    buckets, model = shared_dir(spark, "cli-buckets"), shared_dir(spark, "cli-model")
+    main(["preprocess", "--input", raw, "--output", buckets, "--bucket-ticks", str(DAY)], spark)
+    assert spark.read.parquet(buckets).count() > 0
+    summary = main(["train", "--input", buckets, "--output", model, "--max-iter", "10"], spark)
+    assert len(summary["labels"]) == 5 and 0.0 <= summary["accuracy"] <= 1.0
+    landing = shared_dir(spark, "cli-landing")
+    write_csv(imu_from_events(events), landing, header=False)
+    out = main(["stream", "--input", landing, "--checkpoint", shared_dir(spark, "cli-ckpt"),
+                "--model", f"{model}/model", "--available-now"], spark)
+    assert len(out["queries"]) == 1
