@@ -70,7 +70,6 @@ DIGITS = 6
 # Staged stream files are written in parallel, so they do not arrive in time
 # order; the allowed lateness covers the tables' 30-day span, so no row is late.
 STREAM_LATENESS = "31 days"
-STREAM_FILES = 4
 EVENTS_KEYS = ["user_id", "event_type", "bucket"]
 STANDARDIZED_DIMS = 10
 
@@ -101,9 +100,9 @@ def _as_double(df: DataFrame, cols) -> DataFrame:
 def _stage_stream_input(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """Land the IMU view as header-less CSV files, as a device gateway would."""
     path = shared_dir(spark, purpose)
-    # at least STREAM_FILES files, so the stream sees several micro-batches;
-    # larger inputs keep their own (larger) number of files
-    write_csv(balance(_imu(spark, sf_dir), STREAM_FILES), path, header=False)
+    # one file per partition of the (balanced) view, so the stream sees several
+    # micro-batches here and proportionally more files on larger inputs
+    write_csv(_imu(spark, sf_dir), path, header=False)
     return path
 
 

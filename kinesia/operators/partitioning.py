@@ -12,7 +12,12 @@ def balance(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     task, and the per-row work after it (parsing, magnitudes) would run on one
     core. Such a frame is hash-redistributed once; a frame that already has
     enough partitions (any multi-file table at scale) is returned unchanged, so
-    no shuffle is added there. Only the partition count is looked at, no job runs.
+    no shuffle is added there.
+
+    Apply it to a source read: there the partition count comes from the file
+    listing and no job runs. On a frame that already contains a shuffle,
+    counting partitions would make adaptive execution run that shuffle early;
+    such a frame is already spread by the shuffle and needs no balancing.
     """
     if df.isStreaming:
         return df  # micro-batches are sized by the source (files / offsets per trigger)
