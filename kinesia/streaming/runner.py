@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,14 +34,26 @@ def start_outputs(
 
 
 def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout_ms: int = 0) -> bool:
-    """Block until any query ends (T5); ``timeout_ms`` 0 waits forever.
+    """Block until one of ``queries`` ends (T5); ``timeout_ms`` 0 waits forever.
 
-    Returns True if a query terminated; a query that failed re-raises here.
+    Returns True if one of them terminated (a failed one re-raises), False on
+    timeout. Terminations of other queries in the session are ignored: the
+    session-wide wait is reset first and resumed if something else woke it.
     """
-    if timeout_ms:
-        return bool(spark.streams.awaitAnyTermination(timeout_ms / 1000.0))
-    spark.streams.awaitAnyTermination()
-    return True
+    deadline = time.monotonic() + timeout_ms / 1000.0 if timeout_ms else None
+    while True:
+        spark.streams.resetTerminated()
+        for q in queries:
+            if not q.isActive:
+                if q.exception() is not None:
+                    raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
+                return True
+        if deadline is None:
+            spark.streams.awaitAnyTermination()
+        else:
+            remaining = deadline - time.monotonic()
+            if remaining <= 0 or not spark.streams.awaitAnyTermination(remaining):
+                return any(not q.isActive for q in queries)
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
