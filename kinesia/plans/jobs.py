@@ -48,6 +48,8 @@ def run_stream(
             return console_stream_writer(df, output_mode)
     elif sink == "kafka":
         opts = dict(kafka or {})
+        if not opts.get("servers") or not opts.get("topic"):
+            raise ValueError("the Kafka sink needs both 'servers' and 'topic'")
 
         def writer(df, i):
             return kafka_stream_writer(

@@ -55,3 +55,12 @@ def test_command_line_runs_the_three_jobs(spark, events):
     out = main(["stream", "--input", landing, "--checkpoint", shared_dir(spark, "cli-ckpt"),
                 "--model", f"{model}/model", "--available-now"], spark)
     assert len(out["queries"]) == 1
+
+
+def test_kafka_sink_requires_servers_and_topic(spark):
+    import pytest
+
+    from kinesia.plans.jobs import run_stream
+
+    with pytest.raises(ValueError, match="topic"):
+        run_stream(spark, [], shared_dir(spark, "kafka-ckpt"), sink="kafka", kafka={"servers": "h:9092"})
