@@ -18,6 +18,10 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Size post-shuffle partitions by bytes (advisory 64 MB), not by core count:
+    # small aggregates collapse to a few partitions (the MLP's per-iteration tree
+    # aggregate then runs one stage instead of three), large ones stay split.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
