@@ -1,6 +1,6 @@
 """Command line for the three jobs, for ``spark-submit`` or ``python -m kinesia.cli``.
 
-    kinesia.cli preprocess --input raw/*.csv --output buckets/ [--imu-freq 100 --hr-freq 9] [--console] [--no-sort]
+    kinesia.cli preprocess --input raw/*.csv --output buckets/ [--imu-freq 100 --hr-freq 9] [--console] [--no-sort] [--fast-magnitudes]
     kinesia.cli train --input buckets/ --output model/ [--seed 1 --max-iter 200]
     kinesia.cli stream --input landing/ --checkpoint ckpt/ [--model model/model] [--output-mode append]
                        [--max-files-per-trigger 1] [--timeout-ms 0]
@@ -33,6 +33,10 @@ def _parser() -> argparse.ArgumentParser:
     pre.add_argument("--hr-freq", type=float, default=HR_FREQ_HZ)
     pre.add_argument("--bucket-ticks", type=int, help="bucket width in 0.01 s ticks (overrides the rates)")
     pre.add_argument("--console", action="store_true", help="show the result instead of writing it")
+    pre.add_argument(
+        "--fast-magnitudes", action="store_true",
+        help="square in double instead of exact decimals (~4x cheaper per row, within 1e-10)",
+    )
     pre.add_argument(
         "--no-sort", action="store_true",
         help="skip the global sort by time (a full shuffle of the output; training does not need it)",
@@ -69,6 +73,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         preprocess_job(
             spark, args.input, args.output, console=args.console, bucket_ticks=args.bucket_ticks,
             imu_freq_hz=args.imu_freq, hr_freq_hz=args.hr_freq, ordered=not args.no_sort,
+            exact_magnitudes=not args.fast_magnitudes,
         )
         return {"job": "preprocess", "output": args.output}
     if args.job == "train":

@@ -46,7 +46,7 @@ def test_command_line_runs_the_three_jobs(spark, events):
     raw = shared_dir(spark, "cli-raw")
     write_csv(imu_from_events(events), raw, header=True)
     buckets, model = shared_dir(spark, "cli-buckets"), shared_dir(spark, "cli-model")
-    main(["preprocess", "--input", raw, "--output", buckets, "--bucket-ticks", str(DAY), "--no-sort"], spark)
+    main(["preprocess", "--input", raw, "--output", buckets, "--bucket-ticks", str(DAY), "--no-sort", "--fast-magnitudes"], spark)
     assert spark.read.parquet(buckets).count() > 0
     summary = main(["train", "--input", buckets, "--output", model, "--max-iter", "10"], spark)
     assert len(summary["labels"]) == 5 and 0.0 <= summary["accuracy"] <= 1.0
