@@ -377,7 +377,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_preprocess(spark, SMOKE_DIR)
 
 
+def _llm():
+    """The training-data operators' queries, if that subpackage is there."""
+    try:
+        from kinesia.llm import queries as llm_queries
+
+        llm_queries.queries()
+    except ImportError:
+        return None
+    return llm_queries
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _llm()
     return {
         "preprocess": q_preprocess,
         "preprocess_default": q_preprocess_default,
@@ -412,6 +424,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_score": q_stream_score,
         "stream_bucket_avg": q_stream_bucket_avg,
         "kafka_payload": q_kafka_payload,
+        **(llm.queries() if llm else {}),
     }
 
 
@@ -537,6 +550,7 @@ def _stream_typed_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    llm = _llm()
     mag_view = f"""WITH {_reduced_sql()}
 SELECT {_magnitude_cols_sql()} FROM reduced"""
     not_null = " AND ".join(f"{c} IS NOT NULL" for c in ["timestamp", "activity_id", "heart_rate", "user_id", *METRICS])
@@ -585,6 +599,7 @@ SELECT e.vec_id, r.label_text, r.label_index FROM embeddings e JOIN r ON CAST(e.
         "kafka_payload": """SELECT CAST(user_id AS VARCHAR) AS key,
   to_json(struct_pack(event_id := event_id, user_id := user_id, event_type := event_type, value := value)) AS value
 FROM events""",
+        **(llm.oracle_sql() if llm else {}),
     }
 
 
