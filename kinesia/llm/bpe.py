@@ -1,7 +1,7 @@
 """BPE encoding and decoding with a word-end vocabulary file, by contiguous rank arrays.
 
-A word is held as the list of its part boundaries and, beside it, the rank of each
-adjacent pair. The smallest rank is found by a scan, the boundary inside that pair
+A word is held as the list of its parts, cut at the boundaries, and beside it the rank
+of each adjacent pair. The smallest rank is found by a scan, the boundary inside that pair
 is deleted, and only the two neighbouring ranks are looked up again; words are
 short, so a scan beats a heap. Words repeat, so each task keeps a bounded table of
 the words it has met.
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NO_PAIR = 1 << 62
-CACHED_WORDS = 1 << 17
+CACHED_WORDS = 1 << 19  # about 120 MB a task
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -57,23 +57,22 @@ class WordBpe:
 
     def _encode_word(self, word: str) -> bytes:
         """The ids of one word as little-endian 32-bit integers."""
-        text = "".join(self.letters[b] for b in word.encode("utf-8"))
-        get = lambda i, j, k: self.ranks.get((part(i, j), part(j, k)), NO_PAIR)
-        end = len(text)
-        part = lambda i, j: text[i:j] + self.suffix if j == end else text[i:j]
-        bounds = list(range(end + 1))
-        ranks = [get(i, i + 1, i + 2) for i in range(end - 1)]
+        parts = [self.letters[b] for b in word.encode("utf-8")]
+        parts[-1] += self.suffix
+        rank = self.ranks.get
+        ranks = [rank(pair, NO_PAIR) for pair in zip(parts, parts[1:])]
         while ranks:
             low = min(ranks)
             if low == NO_PAIR:
                 break
             at = ranks.index(low)  # the leftmost of the smallest
-            del bounds[at + 1], ranks[at]
+            parts[at] += parts[at + 1]
+            del parts[at + 1], ranks[at]  # the boundary inside the pair goes
             if at < len(ranks):
-                ranks[at] = get(*bounds[at : at + 3])
+                ranks[at] = rank((parts[at], parts[at + 1]), NO_PAIR)
             if at:
-                ranks[at - 1] = get(*bounds[at - 1 : at + 2])
-        return np.array([self.vocab[part(i, j)] for i, j in zip(bounds, bounds[1:])], "<u4").tobytes()
+                ranks[at - 1] = rank((parts[at - 1], parts[at]), NO_PAIR)
+        return np.array([self.vocab[p] for p in parts], "<u4").tobytes()
 
     @staticmethod
     def normalise(text: str) -> str:
