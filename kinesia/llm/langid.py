@@ -3,7 +3,7 @@
 Each letter has a random vector of +1 and -1. A trigram's vector is the product
 (binding) of its letters' vectors, rotated by their place; a text's vector is the sum
 (bundle) of its trigrams' vectors, and a language's prototype the sum over its
-training texts, each scaled to the same length. A text gets the language whose prototype has the
+training texts. A text gets the language whose prototype has the
 highest cosine with it. Words are lower-cased runs of letters, with a blank on
 either side.
 """
@@ -24,103 +24,159 @@ LETTER_SLOTS = 1 << 12  # letters share the random vector of their code's slot
 UNKNOWN = "und"
 SEED = 5
 BLOCK_CHARS = 1 << 19
+BLOCK_TEXTS = 64
 
 
 @lru_cache(1)
 def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """(slot of each code point, 0 if it is no letter; random vector of each slot, all ones for the blank)."""
     letter = np.fromiter((chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    slot_of = np.where(letter, np.arange(0x110000) % (LETTER_SLOTS - 1) + 1, 0).astype(np.int16)
     slots = np.random.Generator(np.random.PCG64(SEED)).integers(0, 2, (LETTER_SLOTS, DIMENSIONS), np.int8)
-    return letter, slots * np.int8(2) - np.int8(1)
+    return slot_of, slots * np.int8(2) - np.int8(1)
 
 
-def trigrams(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct trigrams of a text, as packed letter slots (0: blank), and their counts; whole text, in blocks."""
-    letter, _ = _tables()
-    keys, counts = [], []
+def letter_slots(text: str) -> Iterator[np.ndarray]:
+    """The slots of a text's letters, one 0 for a run of anything else and at either end; in blocks.
+
+    A block repeats the last two slots of the one before, so each trigram lies in one block.
+    """
+    slot_of, _ = _tables()
+    before = np.zeros(1, np.int16)
     for i in range(0, len(text), BLOCK_CHARS):
-        # two letters more on the left, so that a trigram across the cut counts once
-        part = text[max(0, i - 2) : i + BLOCK_CHARS].lower()
-        code = np.frombuffer(part.encode("utf-32-le", "surrogatepass"), np.uint32)
-        slot = np.where(letter[code], code % (LETTER_SLOTS - 1) + 1, 0).astype(np.int64)
-        if not i:
-            slot = np.concatenate([[0], slot])
+        code = np.frombuffer(text[i : i + BLOCK_CHARS].lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+        slot = np.concatenate([before, slot_of[code]])
         if i + BLOCK_CHARS >= len(text):
-            slot = np.concatenate([slot, [0]])
+            slot = np.append(slot, np.int16(0))
         keep = np.ones(len(slot), bool)
-        keep[1:] = (slot[1:] > 0) | (slot[:-1] > 0)  # one blank for a run of other characters
+        keep[1:] = (slot[1:] > 0) | (slot[:-1] > 0)
         slot = slot[keep]
-        packed = (slot[:-2] << 24) | (slot[1:-1] << 12) | slot[2:]
-        packed = packed[slot[1:-1] > 0]  # a trigram stands around a letter
-        if len(packed):
-            k, n = np.unique(packed, return_counts=True)
-            keys.append(k)
-            counts.append(n)
-    if len(keys) < 2:
-        return (keys[0], counts[0]) if keys else (np.empty(0, np.int64), np.empty(0, np.int64))
-    k, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return k, np.bincount(at, np.concatenate(counts)).astype(np.int64)
-
-
-def bound_vectors(packed: np.ndarray) -> np.ndarray:
-    """The bound vector of each trigram, int8."""
+        yield slot
+        before = slot[-2:]
+
+
+def bound_vectors(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The bound vectors of trigrams given by their letters' slots."""
     _, slots = _tables()
-    a, b, c = packed >> 24, (packed >> 12) & 0xFFF, packed & 0xFFF
     return np.roll(slots[a], 2, 1) * np.roll(slots[b], 1, 1) * slots[c]
 
 
 class Bundler:
-    """Bundles texts; keeps the vectors of the trigrams met, up to a bound."""
-
-    def __init__(self, most: int = 1 << 15):
-        self.most, self.rows, self.known = most, np.empty((0, DIMENSIONS), np.float32), np.empty(0, np.int64)
-
-    def vectors(self, keys: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.known, keys)
-        there = np.zeros(len(keys), bool)
-        inside = at < len(self.known)
-        there[inside] = self.known[at[inside]] == keys[inside]
-        if not there.all():
-            new = keys[~there]
-            if len(self.known) + len(new) > self.most:
-                if len(keys) > self.most // 2:
-                    return bound_vectors(keys).astype(np.float32)
-                self.known, self.rows, new = np.empty(0, np.int64), np.empty((0, DIMENSIONS), np.float32), keys
-            known = np.concatenate([self.known, new])
-            order = np.argsort(known, kind="stable")
-            self.known = known[order]
-            self.rows = np.concatenate([self.rows, bound_vectors(new).astype(np.float32)])[order]
-            at = np.searchsorted(self.known, keys)
-        return self.rows[at]
-
-    def bundle(self, keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        total = np.zeros(DIMENSIONS, np.float32)
-        for i in range(0, len(keys), 4096):
-            total += counts[i : i + 4096].astype(np.float32) @ self.vectors(keys[i : i + 4096])
+    """Counts a text's trigrams and bundles the counts.
+
+    Letters met get small numbers, so that a trigram is found by its place in a table;
+    texts with more different letters, or more different trigrams, than the tables
+    hold are bundled without them, with the same result.
+    """
+
+    SMALL = 7  # bits of a letter's number
+
+    def __init__(self, most: int = 1 << 14):
+        self.most = most
+        self.reset()
+
+    def reset(self) -> None:
+        self.number = np.full(LETTER_SLOTS, -1, np.int32)
+        self.number[0] = 0
+        self.letters = 1
+        self.row = np.full(1 << (3 * self.SMALL), -1, np.int32)
+        self.known = 0
+        self.vectors = np.zeros((1 << 10, DIMENSIONS), np.float32)
+
+    def full(self) -> bool:
+        return self.known > self.most // 2
+
+    def _rows(self, slot: np.ndarray) -> np.ndarray | None:
+        """Table row of each trigram around a letter; None if the tables can't hold them."""
+        new = np.unique(slot[self.number[slot] < 0])
+        if self.letters + len(new) > 1 << self.SMALL:
+            return None
+        self.number[new] = np.arange(self.letters, self.letters + len(new))
+        self.letters += len(new)
+        n = self.number[slot]
+        key = ((n[:-2] << (2 * self.SMALL)) | (n[1:-1] << self.SMALL) | n[2:])[slot[1:-1] > 0]
+        row = self.row[key]
+        if (row < 0).any():
+            fresh, at = np.unique(key[row < 0], return_index=True)
+            if self.known + len(fresh) > self.most:
+                return None
+            where = np.flatnonzero(slot[1:-1] > 0)[row < 0][at]
+            while self.known + len(fresh) > len(self.vectors):
+                self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
+            self.vectors[self.known : self.known + len(fresh)] = bound_vectors(slot[where], slot[where + 1], slot[where + 2])
+            self.row[fresh] = np.arange(self.known, self.known + len(fresh))
+            self.known += len(fresh)
+            row = self.row[key]
+        return row
+
+    def counts(self, text: str) -> tuple[np.ndarray | None, np.ndarray | None]:
+        """(counts by table row, None), (None, bundled vector), or (None, None) for a text without a letter."""
+        total = None
+        for slot in letter_slots(text):
+            row = self._rows(slot)
+            if row is None:
+                return None, self._bundle(text)
+            if len(row):
+                part = np.bincount(row, minlength=self.known)
+                if total is not None:
+                    part[: len(total)] += total
+                total = part
+        return total, None
+
+    @staticmethod
+    def _bundle(text: str) -> np.ndarray:
+        total = np.zeros(DIMENSIONS)
+        for slot in letter_slots(text):
+            at = np.flatnonzero(slot[1:-1] > 0)
+            wide = slot.astype(np.int64)
+            _, first, n = np.unique((wide[at] << 24) | (wide[at + 1] << 12) | wide[at + 2], return_index=True, return_counts=True)
+            for i in range(0, len(first), 4096):
+                f = at[first[i : i + 4096]]
+                total += n[i : i + 4096] @ bound_vectors(slot[f], slot[f + 1], slot[f + 2]).astype(np.float64)
         return total
 
+    def bundle(self, counts: list[np.ndarray]) -> np.ndarray:
+        """The bundled vectors of texts given by their counts."""
+        table = np.zeros((len(counts), self.known), np.float32)
+        for i, c in enumerate(counts):
+            table[i, : len(c)] = c
+        return (table @ self.vectors[: self.known]).astype(np.float64)
+
 
 def fit_prototypes(spark: SparkSession, training: DataFrame, text: str, lang: str) -> dict[str, list[float]]:
     """{language: prototype} from every training row with a text and a language.
 
-    Tasks add up the vectors of their rows by language; only these sums, one row of
-    DIMENSIONS numbers per language, reach the driver.
+    Tasks add up the trigrams of their rows by language; only the bundled sums, one row
+    of DIMENSIONS numbers per language, reach the driver.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        counted: dict[str, np.ndarray] = {}
         bundler = Bundler()
+
+        def empty_table() -> None:
+            for name, c in counted.items():
+                sums[name] = sums.get(name, 0) + c @ bundler.vectors[: len(c)].astype(np.float64)
+            counted.clear()
+
         for batch in batches:
-            for t, name in zip(batch.column(0), batch.column(1)):
-                keys, counts = trigrams(t.as_py())
-                if len(keys):
-                    v = bundler.bundle(keys, counts)
-                    norm = np.linalg.norm(v)
-                    if norm:
-                        sums[name.as_py()] = sums.get(name.as_py(), 0.0) + (v / norm).astype(np.float64)
+            for t, name in zip(batch.column(0), batch.column(1).to_pylist()):
+                if bundler.full():
+                    empty_table()
+                    bundler.reset()
+                counts, vector = bundler.counts(t.as_py())
+                if vector is not None:
+                    sums[name] = sums.get(name, 0) + vector
+                elif counts is not None:
+                    old = counted.get(name)
+                    if old is not None:
+                        counts[: len(old)] += old
+                    counted[name] = counts
+        empty_table()
         names = sorted(sums)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([np.round(sums[n] * 2**20).astype(np.int64) for n in names], pa.list_(pa.int64()))],
-            ["lang", "v"],
+            [pa.array(names, pa.string()), pa.array([np.rint(sums[n]).astype(np.int64) for n in names], pa.list_(pa.int64()))], ["lang", "v"]
         )
 
     rows = training.select(F.col(text).cast("string").alias("t"), F.col(lang).cast("string").alias("l"))
@@ -146,19 +202,27 @@ def language_udf(prototypes: dict[str, list[float]]):
     def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         bundler = Bundler()
         for texts in batches:
-            langs, scores = [], []
-            for t in texts:
-                keys, counts = trigrams(t or "")
-                v = bundler.bundle(keys, counts).astype(np.float64) if len(keys) and names else None
-                norm = np.linalg.norm(v) if v is not None else 0.0
-                if not norm:
-                    langs.append(UNKNOWN if v is None else names[0])
-                    scores.append(0.0)
+            langs, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
+            for i in range(0, len(texts), BLOCK_TEXTS):
+                if bundler.full():
+                    bundler.reset()
+                at, counts, vectors = [], [], []
+                for k, t in enumerate(texts.iloc[i : i + BLOCK_TEXTS], i):
+                    c, v = bundler.counts(t or "")
+                    if v is not None:
+                        vectors.append((k, v))
+                    elif c is not None:
+                        at.append(k)
+                        counts.append(c)
+                bundled = np.concatenate([bundler.bundle(counts).reshape(-1, DIMENSIONS), *[v[None] for _, v in vectors]])
+                at += [k for k, _ in vectors]
+                if not at or not names:
                     continue
-                cosine = table @ v / norm
-                best = int(np.argmax(cosine))
-                langs.append(names[best])
-                scores.append(float(min(1.0, max(0.0, cosine[best]))))
+                norm = np.linalg.norm(bundled, axis=1)
+                cosine = bundled @ table.T / np.maximum(norm, 1e-300)[:, None]
+                best = cosine.argmax(1)
+                langs[at] = [names[b] for b in best]
+                scores[at] = np.clip(cosine[np.arange(len(at)), best], 0, 1)
             yield pd.DataFrame({"lang_pred": langs, "score": scores})
 
     return language
