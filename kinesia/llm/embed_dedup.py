@@ -96,8 +96,8 @@ def _tile(block: bytes, ids: bytes, copies: bytes, dim: int) -> dict:
     return {"id": np.frombuffer(ids, np.int64), "copies": np.frombuffer(copies, np.int64), "unit": unit, "codes": codes, "scale": scale, "error": error, "length": length}
 
 
-def cut_tiles(spark: SparkSession, vectors: DataFrame, size: int = TILE) -> DataFrame:
-    """(tile, dim, low, high, ids, copies, block) from (id, copies, dim, proj, embedding)."""
+def cut_tiles(spark: SparkSession, vectors: DataFrame, count: int, size: int = TILE) -> DataFrame:
+    """(tile, dim, low, high, ids, copies, block) from the ``count`` rows (id, copies, dim, proj, embedding)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, held = TaskContext.get().partitionId(), 0, []
@@ -131,7 +131,9 @@ def cut_tiles(spark: SparkSession, vectors: DataFrame, size: int = TILE) -> Data
         if left is not None and len(left):
             yield close(left)
 
+    # a task cuts several tiles, so that few are left unfilled however finely the range is dealt
     parts = vectors.repartitionByRange("dim", "proj", "id").sortWithinPartitions("dim", "proj", "id")
+    parts = parts.coalesce(max(1, count // (4 * size)))
     tiles = parts.mapInArrow(run, "tile long, dim int, low double, high double, ids binary, copies binary, block binary")
     return stored(spark, tiles, "embedding-tiles")
 
@@ -166,7 +168,7 @@ def embedding_links(spark: SparkSession, rows: DataFrame, threshold: float = 0.9
     norm = F.sqrt(F.aggregate("mean", F.lit(0.0), lambda a, x: a + x * x))
     proj = F.when(norm > 0, dot / (F.col("length") * norm)).otherwise(F.lit(0.0))
     placed = scaled.join(F.broadcast(means), F.col("dim") == F.col("mean_dim"))  # a row per vector length
-    tiles = cut_tiles(spark, placed.select("id", "copies", "dim", proj.alias("proj"), "embedding"), tile)
+    tiles = cut_tiles(spark, placed.select("id", "copies", "dim", proj.alias("proj"), "embedding"), distinct.count(), tile)
 
     reach = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + SLACK
     head = tiles.select("tile", "dim", "low", "high")
