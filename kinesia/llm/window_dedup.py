@@ -5,11 +5,16 @@
    are merged slice by slice. A cell never counts less than a window's occurrences.
 2. A second pass sends on only windows whose cells are all "seen again"; these are
    grouped exactly by 96 bits of hash, and every window whose sequence starts in a
-   smaller document is marked. A window that does occur again is never ruled out.
+   smaller document is marked. A window that does occur again is never ruled out. Of a
+   stretch of documents only the smallest with a window is sent, the others are marked
+   on the spot, so a window that all documents have stays a few entries. Windows are
+   dealt by the smallest hash among their word groups, as neighbours mostly share it:
+   they travel, and come back marked, as stretches.
 3. Marked windows go back to their documents, whose covered words are removed.
 
-The sketch has a fixed number of cells (a parameter), so what is broadcast is bounded.
-On a corpus too large for it more windows go to the exact pass; the result is the same.
+The sketch has cells in proportion to the text, up to a limit (both parameters), so what
+is broadcast is bounded. On a corpus too large for it more windows go to the exact pass;
+the result is the same.
 """
 
 from __future__ import annotations
@@ -23,17 +28,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinesia.llm.graph import stored
-from kinesia.llm.text import as_bytes, doc_blocks, joined, run_hashes, word_bounds, word_hashes
+from kinesia.llm.text import as_bytes, doc_blocks, joined, mix, run_hashes, word_bounds, word_hashes
 
 WINDOW = 13
-SKETCH_BITS = 28  # cells of a row: 2 ** SKETCH_BITS, a bit each when broadcast
+CELLS_PER_BYTE = 0.5  # cells of a row per byte of text, rounded up to a power of two
+SKETCH_BITS = (16, 28)  # least and most: 2 ** 28 cells are 32 MB in a task and less when broadcast
+DEAL_WORDS = 4
+PART_BYTES = 16 << 20  # text whose windows make a partition of the exact pass
 ROWS = 2
 SLICE_BITS = 22
+SPARSE = 64  # a slice with fewer than one in so many bytes set is sent by place
+STRETCH = 1 << 20  # windows that are compared before they are sent
 _U = np.uint64
 
 
-def _windows(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(document, place of the first word, hash, second hash) of every window, in blocks of documents."""
+def _windows(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(document, place of the first word, hash, second hash, dealing hash) of every window, in blocks of documents."""
     for i, j in doc_blocks(texts):
         buf, at = joined(texts[i:j])
         starts, _, words = word_hashes(buf)
@@ -42,7 +52,11 @@ def _windows(texts: list[bytes], width: int) -> Iterator[tuple[np.ndarray, np.nd
         doc = np.searchsorted(at, starts, "right") - 1
         first = np.searchsorted(starts, at[:-1])  # index of each document's first word
         whole = np.flatnonzero(doc[: len(doc) - width + 1] == doc[width - 1 :])
-        yield doc[whole] + i, whole - first[doc[whole]], run_hashes(words, width, 1)[whole], run_hashes(words, width, 2)[whole]
+        groups = run_hashes(words, min(DEAL_WORDS, width), 5)
+        deal = groups[: len(words) - width + 1].copy()
+        for k in range(1, width - min(DEAL_WORDS, width) + 1):
+            np.minimum(deal, groups[k : k + len(deal)], out=deal)
+        yield doc[whole] + i, whole - first[doc[whole]], run_hashes(words, width, 1)[whole], run_hashes(words, width, 2)[whole], mix(deal[whole])
 
 
 def _cells(h: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -82,54 +96,64 @@ class Sketch:
 
 def sketch_windows(docs: DataFrame, width: int, bits: int) -> DataFrame:
     """(row, slice, again): the merged sketch of all texts, slice by slice, compressed."""
+    pack = lambda data: zstandard.ZstdCompressor(level=1).compress(data)
     slice_bits = min(SLICE_BITS, bits)
     step = 1 << (slice_bits - 3)
 
     def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = None
         for batch in batches:
-            for _, _, h, _ in _windows(as_bytes(batch.column(0)), width):
+            for _, _, h, _, _ in _windows(as_bytes(batch.column(0)), width):
                 sketch = sketch or Sketch(bits)
                 sketch.add(h)
         if sketch:
-            pack = zstandard.ZstdCompressor(level=1).compress
             for row in range(ROWS):
                 for s in range(1 << (bits - slice_bits)):
                     cut = slice(s * step, (s + 1) * step)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([row], pa.int32()), pa.array([s], pa.int32()), pa.array([pack(sketch.once[row][cut].tobytes())], pa.binary()), pa.array([pack(sketch.again[row][cut].tobytes())], pa.binary())],
-                        ["row", "slice", "once", "again"],
-                    )
+                    once, again = sketch.once[row][cut], sketch.again[row][cut]
+                    at = np.flatnonzero(once)
+                    if len(at):
+                        sparse = len(at) * SPARSE < step
+                        place = at.astype(np.uint32).tobytes() if sparse else None
+                        data = [pack((x[at] if sparse else x).tobytes()) for x in (once, again)]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([row], pa.int32()), pa.array([s], pa.int32()), pa.array([place], pa.binary()), *(pa.array([d], pa.binary()) for d in data)],
+                            ["row", "slice", "place", "once", "again"],
+                        )
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # sorted by (row, slice): one slice at a time
         unpack = zstandard.ZstdDecompressor().decompress
         key, once, again = None, None, None
-        done = lambda: pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([zstandard.ZstdCompressor(level=1).compress(again.tobytes())], pa.binary())], ["row", "slice", "again"])
+
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([pack(again.tobytes())], pa.binary())], ["row", "slice", "again"])
+
         for batch in batches:
-            for row, s, o, a in zip(*(batch.column(i) for i in range(4))):
+            for row, s, place, o, a in zip(*(batch.column(i) for i in range(5))):
                 o, a = (np.frombuffer(unpack(x.as_buffer()), np.uint8) for x in (o, a))
                 if key != (row.as_py(), s.as_py()):
                     if key:
                         yield done()
                     key, once, again = (row.as_py(), s.as_py()), np.zeros(step, np.uint8), np.zeros(step, np.uint8)
-                again |= a | (once & o)
-                once |= o
+                at = np.frombuffer(place.as_buffer(), np.uint32) if place.is_valid else slice(None)
+                again[at] |= a | (once[at] & o)
+                once[at] |= o
         if key:
             yield done()
 
-    parts = docs.select("text").mapInArrow(partial, "row int, slice int, once binary, again binary")
+    parts = docs.select("text").mapInArrow(partial, "row int, slice int, place binary, once binary, again binary")
     return parts.repartition("row", "slice").sortWithinPartitions("row", "slice").mapInArrow(merge, "row int, slice int, again binary")
 
 
-def window_dedup(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits: int = SKETCH_BITS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def window_dedup(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept (the words kept, joined by one space).
 
     Null and empty texts have no words; texts of fewer than ``width`` words lose none.
     Rows without a doc_id are left whole and do not make others lose words. Rows that
     repeat a doc_id are one document to each other: none removes another's words, and
     what is removed from them is told by place, so give documents distinct ids. Other
-    columns are ignored.
+    columns are ignored. ``bits`` sets the sketch's cells; None takes them by the text.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     marked = marked_windows(spark, source, width, bits)
@@ -138,60 +162,142 @@ def window_dedup(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for raw, places in zip(batch.column(1), batch.column(2)):
+            for raw, spans in zip(batch.column(1), batch.column(2)):
                 data = (raw.as_py() or "").encode("utf-8")
-                n, gone, rest = _removed(data, places.values.to_numpy() if places.is_valid else None, width)
+                marks = [spans.values.field(k).to_numpy() for k in range(2)] if spans.is_valid else None
+                n, gone, rest = _removed(data, marks, width)
                 n_words.append(n)
                 n_removed.append(gone)
                 kept.append(rest.decode("utf-8"))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    return joined_rows.select("doc_id", "text", "places").mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
+    return joined_rows.select("doc_id", "text", "spans").mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
 
 
-def _removed(data: bytes, places: np.ndarray | None, width: int) -> tuple[int, int, bytes]:
+def _removed(data: bytes, marks: list[np.ndarray] | None, width: int) -> tuple[int, int, bytes]:
     starts, ends = word_bounds(np.frombuffer(data, np.uint8))
-    if places is None:
+    if marks is None:
         return len(starts), 0, b" ".join(data.split())
+    place, count = marks
+    ok = place + count + width - 1 <= len(starts)
     cover = np.zeros(len(starts) + 1, np.int64)
-    places = places[places + width <= len(starts)]
-    np.add.at(cover, places, 1)
-    np.add.at(cover, places + width, -1)
+    np.add.at(cover, place[ok], 1)
+    np.add.at(cover, (place + count + width - 1)[ok], -1)
     keep = np.flatnonzero(np.cumsum(cover[:-1]) == 0)
     return len(starts), len(starts) - len(keep), b" ".join([data[a:b] for a, b in zip(starts[keep].tolist(), ends[keep].tolist())])
 
 
-def marked_windows(spark: SparkSession, source: DataFrame, width: int, bits: int) -> DataFrame:
-    """(doc_id, places): places of the windows that also start in a smaller document."""
+def marked_windows(spark: SparkSession, source: DataFrame, width: int, bits: int | None) -> DataFrame:
+    """(doc_id, spans): stretches (first place, count) of windows that also start in a smaller document."""
     rows = source.filter("doc_id is not null and text is not null")
-    unpack = zstandard.ZstdDecompressor().decompress
-    size = 1 << (min(SLICE_BITS, bits) - 3)
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = bits or min(max(int(total * CELLS_PER_BYTE).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    parts = max(1, -(-total // PART_BYTES))
     merged = stored(spark, sketch_windows(rows, width, bits), "window-sketch")
-    table = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(ROWS)]
-    for r in merged.toLocalIterator():  # ROWS * 2 ** bits bits in all, whatever the input
-        table[r["row"]][r["slice"] * size : (r["slice"] + 1) * size] = np.frombuffer(unpack(r["again"]), np.uint8)
-    shared = spark.sparkContext.broadcast(table)
+    # bounded by ROWS * 2 ** bits bits, whatever the input; it stays compressed until a task uses it
+    shared = spark.sparkContext.broadcast([(r["row"], r["slice"], bytes(r["again"])) for r in merged.toLocalIterator()])
+
+    def table() -> list[np.ndarray]:
+        out = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(ROWS)]
+        size = 1 << (min(SLICE_BITS, bits) - 3)
+        for row, s, data in shared.value:
+            out[row][s * size : (s + 1) * size] = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+        return out
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, bitmaps = [], 0, table()
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for doc, place, h, h2 in _windows(as_bytes(batch.column(1)), width):
+            for doc, place, h, h2, deal in _windows(as_bytes(batch.column(1)), width):
                 again = np.ones(len(h), bool)
-                for bitmap, cells in zip(shared.value, _cells(h, bits)):
+                for bitmap, cells in zip(bitmaps, _cells(h, bits)):
                     again &= _has(bitmap, cells)
                 at = np.flatnonzero(again)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h[at].view(np.int64)), pa.array((h2[at] >> _U(32)).astype(np.uint32).view(np.int32)), pa.array(ids[doc[at]]), pa.array(place[at].astype(np.int32))],
-                    ["h", "h2", "doc_id", "place"],
-                )
-
-    windows = rows.mapInArrow(likely, "h long, h2 int, doc_id long, place int")
-    first = windows.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
-    later = windows.join(first.drop("last"), ["h", "h2"]).filter("doc_id > first")
-    return later.groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-
-
-def window_digests(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits: int = SKETCH_BITS) -> DataFrame:
+                part = (deal[at] % _U(parts)).astype(np.int64)
+                held.append((part, h[at], (h2[at] >> _U(32)).astype(np.uint32), ids[doc[at]], place[at].astype(np.int64)))
+                size += len(at)
+                if size > STRETCH:
+                    yield from _sent(held)
+                    held, size = [], 0
+        if size:
+            yield from _sent(held)
+
+    def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # sorted by part: one partition of the windows at a time
+        part, blocks = None, []
+        for batch in batches:
+            for p, m, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                if part is not None and p != part:
+                    yield _answered(blocks)
+                    blocks = []
+                part = p
+                blocks.append((m, block.as_py()))
+        if blocks:
+            yield _answered(blocks)
+
+    found = rows.mapInArrow(likely, "part long, marked boolean, block binary")
+    marked = found.repartition("part").sortWithinPartitions("part").mapInArrow(group, "doc_id long, place int, count int")
+    return marked.groupBy("doc_id").agg(F.collect_list(F.struct("place", "count")).alias("spans"))
+
+
+def _first_of_equal(h: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Whether a smaller document has the same window, for each window."""
+    order = np.lexsort((ids, h2, h))
+    new = np.ones(len(h), bool)
+    a, b = order[1:], order[:-1]
+    new[1:] = (h[a] != h[b]) | (h2[a] != h2[b])
+    out = np.empty(len(h), bool)
+    if len(h):
+        out[order] = ids[order] > ids[order[np.flatnonzero(new)]][np.cumsum(new) - 1]
+    return out
+
+
+def _sent(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Blocks by part: the windows of the smallest document of each sequence with their hashes, the others as marked places."""
+    part, h, h2, ids, place = (np.concatenate(x) for x in zip(*held))
+    marked = _first_of_equal(h, h2, ids)
+    order = np.lexsort((place, ids, marked, part))
+    part, h, h2, ids, place, marked = (x[order] for x in (part, h, h2, ids, place, marked))
+    edge = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (marked[1:] != marked[:-1]), [True]]))
+    pack = zstandard.ZstdCompressor(level=1).compress
+    blocks = []
+    for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+        s = slice(a, b)
+        columns = [np.diff(ids[s], prepend=0).astype("<i8"), np.diff(place[s], prepend=0).astype("<i4")]
+        if not marked[a]:
+            columns += [h[s], h2[s]]
+        blocks.append(pack((b - a).to_bytes(8, "little") + b"".join(c.tobytes() for c in columns)))
+    first = edge[:-1]
+    yield pa.RecordBatch.from_arrays([pa.array(part[first]), pa.array(marked[first]), pa.array(blocks, pa.binary())], ["part", "marked", "block"])
+
+
+def _answered(blocks: list[tuple[bool, bytes]]) -> pa.RecordBatch:
+    """The marked windows of one partition, neighbours in a document as one stretch."""
+    done, todo = [], []
+    for marked, block in blocks:
+        data = zstandard.ZstdDecompressor().decompress(block)
+        n = int.from_bytes(data[:8], "little")
+        ids = np.cumsum(np.frombuffer(data, "<i8", n, 8))
+        place = np.cumsum(np.frombuffer(data, "<i4", n, 8 + 8 * n).astype(np.int64))
+        if marked:
+            done.append((ids, place))
+        else:
+            todo.append((ids, place, np.frombuffer(data, _U, n, 8 + 12 * n), np.frombuffer(data, np.uint32, n, 8 + 20 * n)))
+    if todo:
+        ids, place, h, h2 = (np.concatenate(x) for x in zip(*todo))
+        later = _first_of_equal(h, h2, ids)
+        done.append((ids[later], place[later]))
+    ids, place = (np.concatenate(x) for x in zip(*done))
+    order = np.lexsort((place, ids))
+    ids, place = ids[order], place[order]
+    new = np.ones(len(ids), bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (place[1:] > place[:-1] + 1)
+    start = np.flatnonzero(new)
+    last = np.append(start[1:], len(ids)) - 1 if len(ids) else start
+    return pa.RecordBatch.from_arrays([pa.array(ids[start]), pa.array(place[start].astype(np.int32)), pa.array((place[last] - place[start] + 1).astype(np.int32))], ["doc_id", "place", "count"])
+
+
+def window_digests(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits: int | None = None) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of ``window_dedup``."""
     out = window_dedup(spark, docs, width, bits)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
