@@ -27,56 +27,66 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinesia.llm.graph import stored
-from kinesia.llm.text import BYTE_CODE, as_bytes, doc_blocks, mix
+from kinesia.llm.text import BYTE_CODE, as_bytes, doc_blocks, mix, packed_texts
 
 LENGTH = 200
 GRAM = 16
 PART_ANCHORS = 1 << 14  # contexts a merge partition is planned for
 _U = np.uint64
 SEGMENT = 1 << 22
+BLOCK = 1 << 18  # text handled at once: its arrays stay in cache
 
 
 def span_of(length: int) -> int:
     """Starts among which a window's anchor is chosen; its gram stays inside the window."""
-    return max(1, min(length - GRAM + 1, length * 3 // 5))
+    return max(1, min(length - gram_of(length) + 1, length * 3 // 5))
+
+
+def gram_of(length: int) -> int:
+    """Bytes of a gram: a power of two that leaves room for a span."""
+    return min(GRAM, 1 << max(0, (max(1, length // 4)).bit_length() - 1))
 
 
 def _grams(buf: np.ndarray, k: int) -> np.ndarray:
-    """Hash of the k bytes from each place, by doubling; len(buf) - k + 1 values."""
-    have, width, parts, at = BYTE_CODE[buf], 1, None, 0
-    while True:
-        if k & width:
-            if parts is None:
-                parts = have
-            else:
-                n = len(buf) - at - width + 1
-                parts = mix(parts[: max(0, n)]) * _U(0xD6E8FEB86659FD93) + have[at : at + max(0, n)]
-            at += width
-        if at == k:
-            return mix(parts)
+    """Hash of the k bytes from each place, k a power of two, by doubling; len(buf) - k + 1 values."""
+    have, width = BYTE_CODE[buf], 1
+    while width < k:
         n = max(0, len(have) - width)
-        have = mix(have[:n]) * _U(0xC2B2AE3D27D4EB4F) + have[width : width + n]
+        have = (have[:n] ^ (have[:n] >> _U(29))) * _U(0xC2B2AE3D27D4EB4F) + have[width : width + n]
         width *= 2
+    return have * _U(0x9FB21C651E98DF25)
+
+
+def _marks(gram: np.ndarray, at: np.ndarray, lead: int, k: int) -> np.ndarray:
+    """Hash of the ``lead`` bytes from each of some places, from the k-byte hashes that cover them."""
+    out = np.zeros(len(at), _U)
+    for offset in [*range(0, lead - k, k), lead - k]:
+        out = mix(out) * _U(0xD6E8FEB86659FD93) + gram[at + offset]
+    return mix(out)
 
 
 def anchors(data: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
     """(document, place, least d, greatest d, hash of the leading bytes) of the anchors of whole texts, in blocks."""
     span = span_of(length)
-    lead = length - span + 1
-    for i, j in doc_blocks(data):
+    lead, k = length - span + 1, gram_of(length)
+    for i, j in doc_blocks(data, BLOCK):
         buf = np.frombuffer(b"".join(data[i:j]), np.uint8)
         at = np.zeros(j - i + 1, np.int64)
         np.cumsum([len(t) for t in data[i:j]], out=at[1:])
+        docs = np.repeat(np.arange(j - i), np.diff(at))
+        ends = at[1:][docs]
         for s in range(0, len(buf), SEGMENT):  # windows that start in this segment
             part = buf[s : s + SEGMENT + length - 1]
             n = len(part) - length + 1
             if n <= 0:
                 break
-            gram = _grams(part, min(GRAM, length))[: n + span - 1]
+            grams = _grams(part, k)
+            gram = grams[: n + span - 1]
             key = (gram >> _U(24) << _U(24)) | np.arange(len(gram), dtype=_U)  # ties: leftmost
             pad = -len(key) % span
             grid = np.concatenate([key, np.full(pad, ~_U(0), _U)]).reshape(-1, span)
@@ -85,15 +95,14 @@ def anchors(data: list[bytes], length: int) -> Iterator[tuple[np.ndarray, ...]]:
             least = np.minimum(behind[:n], ahead[span - 1 : span - 1 + n])
             place = (least & _U((1 << 24) - 1)).astype(np.int64)
             start = np.arange(n) + s
-            doc = np.searchsorted(at, start, "right") - 1
-            whole = np.flatnonzero(start + length <= at[doc + 1])
+            whole = np.flatnonzero(start + length <= ends[s : s + n])
             if not len(whole):
                 continue
-            a, p, of = place[whole] + s, start[whole], doc[whole]
+            a, p = place[whole] + s, start[whole]
+            of = docs[p]
             new = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]) | (of[1:] != of[:-1])]))
             last = np.concatenate([new[1:], [len(a)]]) - 1
-            mark = _grams(part, lead)[a[new] - s]
-            yield of[new] + i, a[new] - at[of[new]], a[new] - p[last], a[new] - p[new], mark
+            yield of[new] + i, a[new] - at[of[new]], a[new] - p[last], a[new] - p[new], _marks(grams, a[new] - s, lead, k)
 
 
 # ---- front-coded runs
@@ -267,7 +276,8 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
         held: dict[int, dict] = {}
         size = 0
         for batch in batches:
-            for doc, text, at in zip(batch.column(0).to_pylist(), as_bytes(batch.column(1)), batch.column(2)):
+            for doc, packed, at in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                text = zstandard.ZstdDecompressor().decompress(packed.as_buffer())
                 for place, low, high, mark in zip(*(at.values.field(i).to_pylist() for i in range(4))):
                     context = (text[place : place + length], text[max(0, place - span + 1) : place])
                     group = held.setdefault(mark % parts, {})
@@ -281,11 +291,11 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
                     held, size = {}, 0
         yield from _runs(held)
 
-    runs = docs.join(kept, "doc_id").select("doc_id", "text", "at").mapInArrow(sort_runs, "part int, run binary")
+    runs = docs.mapInArrow(packed_texts, PACKED).join(kept, "doc_id").select("doc_id", "text", "at").mapInArrow(sort_runs, "part int, run binary")
 
     def merge(pdf: pd.DataFrame) -> pd.DataFrame:
         out, held, group = [], [], []
-        for row in merge_runs([decode_run(r) for r in pdf["run"]]):
+        for row in merge_runs([decode_run(zstandard.ZstdDecompressor().decompress(r)) for r in pdf["run"]]):
             if row[0] < lead:  # rows that share less than the leading bytes have no equal window
                 _close(group, held)
                 group = []
@@ -304,12 +314,14 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, length: int = LENGTH) -
 
 
 RUN_BYTES = 48 << 20
+PACKED = "doc_id long, text binary"
 
 
 def _runs(held: dict[int, dict]) -> Iterator[pa.RecordBatch]:
     for part in sorted(held):
         rows = sorted(held[part])
         run = encode_run(rows, [np.array(held[part][r], OCCURRENCE).tobytes() for r in rows])
+        run = zstandard.ZstdCompressor(level=1).compress(run)
         yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([run], pa.binary())], ["part", "run"])
 
 
@@ -359,12 +371,13 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, doc
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     spans = repeated_spans(spark, source.filter("doc_id is not null"), length)
-    rows = source.join(spans.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
+    rows = source.mapInArrow(packed_texts, PACKED).join(spans.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, firsts, lasts, kept = [], [], [], []
-            for data, starts, ends in zip(as_bytes(batch.column(1)), batch.column(2), batch.column(3)):
+            for packed, starts, ends in zip(batch.column(1), batch.column(2), batch.column(3)):
+                data = zstandard.ZstdDecompressor().decompress(packed.as_buffer())
                 a, b = joined_spans(starts.values.to_numpy(), ends.values.to_numpy()) if starts.is_valid else ([], [])
                 sizes.append(len(data))
                 firsts.append(a)
