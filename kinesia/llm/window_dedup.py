@@ -34,11 +34,11 @@ WINDOW = 13
 CELLS_PER_BYTE = 0.5  # cells of a row per byte of text, rounded up to a power of two
 SKETCH_BITS = (16, 28)  # least and most: 2 ** 28 cells are 32 MB in a task and less when broadcast
 DEAL_WORDS = 4
-PART_BYTES = 16 << 20  # text whose windows make a partition of the exact pass
+PART_BYTES = 8 << 20  # text whose windows make a partition of the exact pass
 ROWS = 2
 SLICE_BITS = 22
 SPARSE = 64  # a slice with fewer than one in so many bytes set is sent by place
-STRETCH = 1 << 20  # windows that are compared before they are sent
+STRETCH = 1 << 18  # windows that are compared before they are sent
 _U = np.uint64
 
 
