@@ -71,7 +71,7 @@ DIGITS = 6
 # order; the allowed lateness covers the tables' 30-day span, so no row is late.
 STREAM_LATENESS = "31 days"
 EVENTS_KEYS = ["user_id", "event_type", "bucket"]
-STANDARDIZED_DIMS = 10
+STANDARDIZED_DIMS = 64  # the vectors of the embeddings table, whole
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -59,6 +59,8 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--max-files-per-trigger", type=int, default=1)
     st.add_argument("--timeout-ms", type=int, default=0)
     st.add_argument("--available-now", action="store_true", help="process what is there, then stop")
+    st.add_argument("--bucket-ticks", type=int, default=None, help="bucket width the model was trained on")
+    st.add_argument("--watermark", default="10 minutes", help="lateness beyond which readings are dropped")
     st.add_argument("--kafka-servers")
     st.add_argument("--kafka-topic")
     return parser
@@ -92,7 +94,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         options["kafka"] = {"servers": args.kafka_servers, "topic": args.kafka_topic}
     queries = stream_job(
         spark, args.input, args.checkpoint, model_path=args.model,
-        max_files_per_trigger=args.max_files_per_trigger, **options,
+        max_files_per_trigger=args.max_files_per_trigger, bucket_ticks=args.bucket_ticks, watermark=args.watermark, **options,
     )
     return {"job": "stream", "queries": [q.id for q in queries]}
 

@@ -56,8 +56,9 @@ def category_indexer(
 
     A value 0.0, when present, keeps index 0; the others follow in ascending
     order. Each task keeps at most ``max_categories + 1`` values per feature, so
-    the fit's state is bounded whatever the data size.
+    the fit's state is bounded whatever the data size. A value not met when fitting
+    gets the index after the last one, so a rare hold-out or stream value is scored.
     """
     return VectorIndexer(
-        inputCol=input_col, outputCol=output_col, maxCategories=max_categories, handleInvalid="error"
+        inputCol=input_col, outputCol=output_col, maxCategories=max_categories, handleInvalid="keep"
     )

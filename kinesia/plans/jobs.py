@@ -87,13 +87,23 @@ def stream_job(
     *,
     model_path: str | None = None,
     max_files_per_trigger: int = 1,
+    bucket_ticks: int | None = None,
+    watermark: str = "10 minutes",
+    with_bucket: bool | None = None,
     **run_options,
 ) -> list[StreamingQuery]:
-    """Landing folder -> (scored buckets with a model, else pass-through) -> sink."""
+    """Landing folder -> (scored buckets with a model, else pass-through) -> sink.
+
+    ``bucket_ticks`` must be the width the model was trained on. Readings later than
+    ``watermark`` behind the latest one are dropped, so set it to the delay of the
+    landing files. In update mode the bucket key is part of the output unless
+    ``with_bucket`` is False: consumers need it to replace a bucket's earlier means.
+    """
     stream = read_csv_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)
     if model_path:
-        out = score_stream(stream, load_pipeline(model_path))
-        run_options.setdefault("output_mode", "update")
+        mode = run_options.setdefault("output_mode", "update")
+        keyed = mode == "update" if with_bucket is None else with_bucket
+        out = score_stream(stream, load_pipeline(model_path), bucket_ticks=bucket_ticks, watermark=watermark, with_bucket=keyed)
     else:
         out = passthrough(stream)
     return run_stream(spark, [out], checkpoint_root, **run_options)

@@ -57,12 +57,15 @@ def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout_ms
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
-    """Wait for every (``availableNow``) query to finish, then surface failures."""
+    """Wait for every (``availableNow``) query to finish, then surface failures.
+
+    A query that has not ended after ``timeout_s`` seconds raises ``TimeoutError``.
+    """
     for q in queries:
         if timeout_s is None:
             q.awaitTermination()
-        else:
-            q.awaitTermination(timeout_s)
+        elif not q.awaitTermination(timeout_s):
+            raise TimeoutError(f"streaming query {q.name or q.id} has not ended after {timeout_s} s")
         if q.exception() is not None:
             raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
 
