@@ -30,6 +30,7 @@ OCTETS = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.0*(?:[0-9]{1,2}|1
 TERM = r"[\p{L}\p{M}]{3,}"
 DISCLOSURE = 0.9
 SUPPORT = 3
+CELL_WORDS = 1024  # 64-bit words of the bitmap of wanted terms
 
 
 def _digits(value: Column) -> Column:
@@ -93,6 +94,13 @@ def found_base(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select("doc_id", "text", *[base_spans(F.col("text"), k).alias(k) for k in KINDS])
 
 
+def _reveals(total: int, disclosure: float) -> Column:
+    """Whether the term's mutual information reaches the share of the entity's information content."""
+    n = F.lit(float(total))
+    content = F.log(n / F.col("n_e"))
+    return (content > 0) & (F.log(n * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) >= disclosure * content)
+
+
 def revealing_terms(spark: SparkSession, found: DataFrame, total: int, disclosure: float, support: int) -> DataFrame:
     """(doc_id, terms): the terms of a document that reveal one of its entities."""
     everything = F.concat(*KINDS)
@@ -109,18 +117,25 @@ def revealing_terms(spark: SparkSession, found: DataFrame, total: int, disclosur
     # terms of documents with an entity that is met often enough; then their counts over all documents
     some = held.select("doc_id").distinct()
     local = with_entity.select("doc_id", "text").join(some, "doc_id", "left_semi").select("doc_id", F.explode(words).alias("term")).distinct()
+    local = stored(spark, local, "pii-local")
     met = stored(spark, local.join(held, "doc_id").select("doc_id", "entity", "n_e", "term"), "pii-terms")
     joint = met.groupBy("entity", "term").agg(F.first("n_e").alias("n_e"), F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= support)
+    # a term's documents seen so far are no more than all its documents: pairs that they rule out already go
+    seen = local.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    joint = joint.join(seen, "term").filter(_reveals(total, disclosure)).drop("n_t")
     joint = stored(spark, joint, "pii-joint")
-    if joint.isEmpty():
-        return joint.select(F.lit(0).cast("long").alias("doc_id"), F.array(F.lit("")).alias("terms")).limit(0)
+    # terms are counted over all documents; a bitmap of the wanted terms' cells, of a fixed
+    # size, leaves out most others before they are sent (it lets through too many, never too few)
+    cell = lambda t: F.pmod(F.xxhash64(t), F.lit(64 * CELL_WORDS)).cast("int")
+    bits = [0] * CELL_WORDS
+    for r in joint.select(cell(F.col("term")).alias("c")).distinct().toLocalIterator():
+        bits[r["c"] // 64] |= 1 << (r["c"] % 64)
+    table = F.array(*[F.lit(b - (1 << 64) if b >> 63 else b).cast("long") for b in bits])
+    maybe = F.filter(words, lambda t: F.getbit(F.element_at(table, F.shiftright(cell(t), 6) + 1), cell(t) % 64) == 1)
     wanted = joint.select("term").distinct()
-    everywhere = found.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    everywhere = found.select(F.explode(maybe).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     scored = joint.join(everywhere.join(wanted, "term", "left_semi"), "term")
-    n = F.lit(float(total))
-    pmi = F.log(n * F.col("n_te") / (F.col("n_t") * F.col("n_e")))
-    content = F.log(n / F.col("n_e"))
-    flagged = scored.filter((content > 0) & (pmi >= disclosure * content)).select("entity", "term")
+    flagged = scored.filter(_reveals(total, disclosure)).select("entity", "term")
     return met.join(flagged, ["entity", "term"]).groupBy("doc_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
 
 
