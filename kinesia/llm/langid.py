@@ -194,7 +194,7 @@ def language_udf(prototypes: dict[str, list[float]]):
     ``und`` with score 0. Equal cosines go to the smallest language name.
     """
     names = sorted(prototypes)
-    table = np.array([prototypes[n] for n in names], np.float64).reshape(len(names), -1)
+    table = np.array([prototypes[n] for n in names], np.float64).reshape(len(names), DIMENSIONS)
     if names:
         table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-300)
 
