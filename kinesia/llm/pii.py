@@ -11,6 +11,8 @@ that hold the entity.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,7 +32,8 @@ OCTETS = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.0*(?:[0-9]{1,2}|1
 TERM = r"[\p{L}\p{M}]{3,}"
 DISCLOSURE = 0.9
 SUPPORT = 3
-CELL_WORDS = 1024  # 64-bit words of the bitmap of wanted terms
+CELL_WORDS = 16384  # 64-bit words of the bitmap of wanted terms
+DOC_WORDS = 4096  # 64-bit words of the bitmap of documents with terms
 
 
 def _digits(value: Column) -> Column:
@@ -101,6 +104,18 @@ def _reveals(total: int, disclosure: float) -> Column:
     return (content > 0) & (F.log(n * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) >= disclosure * content)
 
 
+def _bitmap(keys: DataFrame, words: int) -> Callable[[Column], Column]:
+    """A test for the keys of a one-column table, of a fixed size: it lets through too many, never too few."""
+    cell = lambda k: F.pmod(F.xxhash64(k), F.lit(64 * words)).cast("int")
+    cells = keys.select(cell(F.col(keys.columns[0])).alias("c"))
+    rows = cells.groupBy(F.shiftright("c", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, c % 64))").alias("bits"))
+    table = [0] * words
+    for r in rows.collect():  # at most ``words`` rows
+        table[r["word"]] = r["bits"]
+    bits = F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
+    return lambda k: F.getbit(F.element_at(bits, F.shiftright(cell(k), 6) + 1), cell(k) % 64) == 1
+
+
 def revealing_terms(spark: SparkSession, found: DataFrame, total: int, disclosure: float, support: int) -> DataFrame:
     """(doc_id, terms): the terms of a document that reveal one of its entities."""
     everything = F.concat(*KINDS)
@@ -124,17 +139,12 @@ def revealing_terms(spark: SparkSession, found: DataFrame, total: int, disclosur
     seen = local.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
     joint = joint.join(seen, "term").filter(_reveals(total, disclosure)).drop("n_t")
     joint = stored(spark, joint, "pii-joint")
-    # terms are counted over all documents; a bitmap of the wanted terms' cells, of a fixed
-    # size, leaves out most others before they are sent (it lets through too many, never too few)
-    cell = lambda t: F.pmod(F.xxhash64(t), F.lit(64 * CELL_WORDS)).cast("int")
-    bits = [0] * CELL_WORDS
-    for r in joint.select(cell(F.col("term")).alias("c")).distinct().toLocalIterator():
-        bits[r["c"] // 64] |= 1 << (r["c"] % 64)
-    table = F.array(*[F.lit(b - (1 << 64) if b >> 63 else b).cast("long") for b in bits])
-    maybe = F.filter(words, lambda t: F.getbit(F.element_at(table, F.shiftright(cell(t), 6) + 1), cell(t) % 64) == 1)
-    wanted = joint.select("term").distinct()
+    # terms are counted over all documents; a bitmap of the wanted terms leaves out most others before they are sent
+    has = _bitmap(joint.select("term"), CELL_WORDS)
+    maybe = F.filter(words, has)
     everywhere = found.select(F.explode(maybe).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    scored = joint.join(everywhere.join(wanted, "term", "left_semi"), "term")
+    # an inner join: a semi join would be pushed below the count, and send every occurrence
+    scored = joint.join(everywhere, "term")
     flagged = scored.filter(_reveals(total, disclosure)).select("entity", "term")
     return met.join(flagged, ["entity", "term"]).groupBy("doc_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
 
@@ -149,9 +159,9 @@ def sanitise(spark: SparkSession, docs: DataFrame, disclosure: float = DISCLOSUR
     only; rows that repeat a doc_id share their terms. Other columns are ignored.
     """
     found = found_base(docs, doc_id, text)
-    terms = revealing_terms(spark, found, found.count(), disclosure, support)
-    # only documents with a span can have terms; the others need not be joined
-    some = F.size(F.concat(*KINDS)) > 0
+    terms = stored(spark, revealing_terms(spark, found, found.count(), disclosure, support), "pii-flagged")
+    # the text of a document is sent only where a bitmap lets it pass as one with terms
+    some = F.coalesce(_bitmap(terms.select("doc_id"), DOC_WORDS)(F.col("doc_id")), F.lit(False)) & F.col("doc_id").isNotNull()
     joined = found.filter(some).join(terms.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
     pattern = F.concat(F.lit(r"(?<![\p{L}\p{M}])(?:"), F.array_join("terms", "|"), F.lit(r")(?![\p{L}\p{M}])"))
     base = F.concat(*KINDS)
