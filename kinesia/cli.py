@@ -56,7 +56,7 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--model")
     st.add_argument("--output-mode", default=None)
-    st.add_argument("--max-files-per-trigger", type=int, default=1)
+    st.add_argument("--max-files-per-trigger", type=int, default=None)
     st.add_argument("--timeout-ms", type=int, default=0)
     st.add_argument("--available-now", action="store_true", help="process what is there, then stop")
     st.add_argument("--bucket-ticks", type=int, default=None, help="bucket width the model was trained on")

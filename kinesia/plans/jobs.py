@@ -86,7 +86,7 @@ def stream_job(
     checkpoint_root: str,
     *,
     model_path: str | None = None,
-    max_files_per_trigger: int = 1,
+    max_files_per_trigger: int | None = None,
     bucket_ticks: int | None = None,
     watermark: str = "10 minutes",
     with_bucket: bool | None = None,

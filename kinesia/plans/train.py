@@ -14,12 +14,11 @@ from kinesia.ml.evaluate import accuracy
 from kinesia.ml.features import assembler, category_indexer, fit_labels, scaler
 from kinesia.ml.split import hash_split
 from kinesia.schema import FEATURES, LABEL
-from kinesia.session import ensure_checkpoint_dir
+from kinesia.session import shared_dir
 from kinesia.sinks.files import write_outputs, write_single_file
 from kinesia.sinks.models import save_model
+from kinesia.sources.parquet import read_parquet
 
-# Upper bound on distinct labels (the output layer width); the reference has 9.
-MAX_CLASSES = 1000
 # Columns the reference drops before writing the hold-out predictions (K6).
 DROPPED_FROM_RESULTS = ("features", "indexedLabel", "indexedFeatures", "rawPrediction", "probability", "prediction")
 
@@ -55,14 +54,6 @@ def hold_out_results(predictions: DataFrame) -> DataFrame:
     return predictions.drop(*DROPPED_FROM_RESULTS)
 
 
-def _check_class_count(df: DataFrame, label: str, max_classes: int) -> None:
-    """Refuse a label column with more than ``max_classes`` values before the label
-    indexer brings its distinct values to the driver (one bounded distinct job)."""
-    seen = df.select(label).distinct().limit(max_classes + 1).count()
-    if seen > max_classes:
-        raise ValueError(f"{label!r} has more than {max_classes} distinct values; not a class label")
-
-
 def train(
     df: DataFrame,
     features: Sequence[str] = FEATURES,
@@ -78,7 +69,6 @@ def train(
     out_dir: str | None = None,
     single_file_results: bool = False,
     cut_lineage: bool = False,
-    max_classes: int = MAX_CLASSES,
 ) -> TrainResult:
     """Fit label indexer, assembler, scaler, category indexer, network and converter.
 
@@ -87,10 +77,11 @@ def train(
     only (the reference fitted them before the split). The split is a hash of
     ``split_key`` (default: all selected columns), so it survives recomputation.
     The iterative fit runs over Spark ML's own cached copy of the stacked
-    training vectors; with ``cut_lineage`` the input is first checkpointed to the shared
-    checkpoint folder, so a lost executor's partitions are re-read from there
-    instead of recomputed from the raw scan (use it when ``df`` is a derived
-    aggregate rather than a Parquet table).
+    training vectors; with ``cut_lineage`` the input is first written as Parquet to
+    the shared folder and read back, so a lost executor's partitions are re-read
+    from there instead of recomputed from the raw scan (use it when ``df`` is a
+    derived aggregate rather than a Parquet table). The label indexer brings the
+    distinct labels to the driver: they are the network's output layer.
 
     With ``out_dir``: model to ``<out>/model`` (K7), scaler to ``<out>/scaler`` (K8),
     hold-out predictions to ``<out>/test_results`` (K6). ``single_file_results``
@@ -100,9 +91,9 @@ def train(
     features = list(features)
     data = df.select(*features, label) if split_key is None else df
     if cut_lineage:
-        ensure_checkpoint_dir(data.sparkSession)
-        data = data.checkpoint(eager=True)
-    _check_class_count(data, label, max_classes)
+        staged = shared_dir(data.sparkSession, "train-input")
+        write_outputs([data], [staged])
+        data = read_parquet(data.sparkSession, staged)
     labels_model = fit_labels(data, label)
     labels = list(labels_model.labels)
     key = split_key if split_key is not None else [*features, label]

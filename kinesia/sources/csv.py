@@ -35,11 +35,11 @@ def read_csv_stream(
     directory: str,
     schema: T.StructType | None = None,
     *,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
     header: bool = False,
     delimiter: str = ",",
 ) -> DataFrame:
-    """Streaming CSV over a landing directory (S2), capped files per micro-batch.
+    """Streaming CSV over a landing directory (S2); files per micro-batch as the caller says.
 
     Typed columns parse the ``NA`` sentinel to NULL (permissive mode).
     """

@@ -35,7 +35,7 @@ def read_parquet_stream(
     schema: T.StructType,
     *,
     file_glob: str | None = None,
-    max_files_per_trigger: int | None = 1,
+    max_files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Parquet files landing in ``directory`` as a stream (S2's Parquet twin).
 

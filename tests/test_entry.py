@@ -1,6 +1,7 @@
 """Driver contract: entry() smoke run and oracle agreement at sf0.001."""
 
 import math
+import re
 from collections import Counter
 
 import duckdb
@@ -41,7 +42,8 @@ def test_entry_smoke(spark):
 def test_every_query_has_an_oracle_or_is_rows_only():
     qs, sql = entry.queries(), entry.oracle_sql()
     assert set(sql) <= set(qs)
-    assert set(qs) - set(sql) == SLOW
+    own = {q for q in qs if not re.match(r"op\d+_|pipeline$", q)}  # the others are tested in tests/llm
+    assert own - set(sql) == SLOW
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.oracle_sql())))
