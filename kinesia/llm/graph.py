@@ -38,22 +38,25 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.filter("a != b").distinct()
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Whether each node of edges a > b has one edge to a smaller node, or only edges to larger ones."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("b").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    return ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up")).filter("down + up > 1").isEmpty()
+
+
 def components(spark: SparkSession, edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component): the smallest node reachable from each node that has an edge.
 
     ``edges`` holds integer ids; loops, nulls, repeats and either direction are
-    allowed. Nodes without an edge to another node are not returned.
+    allowed. Nodes without an edge to another node are not returned. The steps end
+    when the edges are stars around the smallest node, which may be so at the start.
     """
-    now = edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b"))
-    now = stored(spark, now.filter("a != b").distinct(), "components")
-    before = None
-    while True:
+    now = edges.select(F.greatest(a, b).cast("long").alias("a"), F.least(a, b).cast("long").alias("b"), (F.col(a) != F.col(b)).alias("_edge"))
+    now = stored(spark, now.filter("_edge").drop("_edge").distinct(), "components")
+    while not _is_stars(now):
         now = stored(spark, _star(_star(now, True), False), "components")
-        # converged when every edge points from a node to its root and no root has one
-        state = now.agg(F.count(F.lit(1)), F.sum(F.hash("a", "b").cast("long"))).first()
-        if tuple(state) == before:
-            break
-        before = tuple(state)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(
         now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     )
