@@ -27,7 +27,6 @@ from kinesia.ml.evaluate import accuracy_frame
 from kinesia.ml.features import assembler, category_indexer, fit_labels, standardize
 from kinesia.ml.split import HASH_MODULUS, HASH_MULTIPLIER, split_position
 from kinesia.operators import (
-    balance,
     distinct_values,
     drop_empty_rows,
     drop_incomplete,
@@ -67,9 +66,7 @@ from kinesia.streaming.windows import stream_bucketed_mean
 SMOKE_DIR = "/root/testdata/sf0.001"
 DAY_TICKS = 86_400 * 100  # one-day buckets: the events table has ~1 row per user per 10 h
 DIGITS = 6
-# Staged stream files are written in parallel, so they do not arrive in time
-# order; the allowed lateness covers the tables' 30-day span, so no row is late.
-STREAM_LATENESS = "31 days"
+BUCKET_DIGITS = 4  # sums of seconds, added in any order
 EVENTS_KEYS = ["user_id", "event_type", "bucket"]
 STANDARDIZED_DIMS = 64  # the vectors of the embeddings table, whole
 
@@ -78,10 +75,25 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """One task per core: the given tables have one row group and so one scan task each."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _lateness(spark: SparkSession, sf_dir: str) -> str:
+    """The time span of the events: staged files arrive in any order, and no row may be late."""
+    seconds = event_seconds()
+    span = _table(spark, sf_dir, "events").agg(F.max(seconds) - F.min(seconds)).first()[0]
+    return f"{int(span or 0) + 1} seconds"
+
+
+def _files_per_trigger(spark: SparkSession) -> int:
+    """Files of a micro-batch: half the cores, so that the staged files (one a core) come as two batches."""
+    return max(2, spark.sparkContext.defaultParallelism // 2)
+
+
 def _imu(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The test tables are single-row-group files (one scan task); spread them
-    # before the per-row work. A no-op for inputs that are already split.
-    return imu_from_events(balance(_table(spark, sf_dir, "events")))
+    return imu_from_events(_spread(_table(spark, sf_dir, "events")))
 
 
 def _rounded(df: DataFrame, cols, digits: int = DIGITS) -> DataFrame:
@@ -100,8 +112,6 @@ def _as_double(df: DataFrame, cols) -> DataFrame:
 def _stage_stream_input(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     """Land the IMU view as header-less CSV files, as a device gateway would."""
     path = shared_dir(spark, purpose)
-    # one file per partition of the (balanced) view, so the stream sees several
-    # micro-batches here and proportionally more files on larger inputs
     write_csv(_imu(spark, sf_dir), path, header=False)
     return path
 
@@ -126,6 +136,7 @@ def _events_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "event_type",
         bucket_index(time_tick(event_seconds()), DAY_TICKS).alias("bucket"),
+        event_seconds().alias("timestamp"),
         "value",
         F.get_json_object("props", "$.k").try_cast("int").alias("k"),
     )
@@ -134,13 +145,13 @@ def _events_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _q_bucket(how: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = multi_agg(_events_bucketed(spark, sf_dir), EVENTS_KEYS, how=how)
-        return _rounded(out, ["value", "k"])
+        return _rounded(out, ["timestamp", "value", "k"], BUCKET_DIGITS)
 
     return run
 
 
 def q_vector_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = balance(_table(spark, sf_dir, "lineitem"))
+    li = _spread(_table(spark, sf_dir, "lineitem"))
     return li.select(
         "l_orderkey", "l_linenumber", magnitude("l_quantity", "l_discount", "l_tax").cast("double").alias("magnitude")
     )
@@ -294,7 +305,7 @@ def q_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing = _stage_stream_input(spark, sf_dir, "stream-identity-in")
     out, ckpt = shared_dir(spark, "stream-identity-out"), shared_dir(spark, "stream-identity-ckpt")
-    stream = passthrough(read_csv_stream(spark, landing, max_files_per_trigger=1))
+    stream = passthrough(read_csv_stream(spark, landing, max_files_per_trigger=_files_per_trigger(spark)))
 
     def writer(df, i):
         return df.writeStream.format("parquet").outputMode("append").option("path", out)
@@ -306,7 +317,7 @@ def q_stream_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_buckets(spark: SparkSession, sf_dir: str, frame_of) -> DataFrame:
     landing = _stage_stream_input(spark, sf_dir, "stream-buckets-in")
     out, ckpt = shared_dir(spark, "stream-buckets-out"), shared_dir(spark, "stream-buckets-ckpt")
-    stream = frame_of(read_csv_stream(spark, landing, max_files_per_trigger=1))
+    stream = frame_of(read_csv_stream(spark, landing, max_files_per_trigger=_files_per_trigger(spark)))
 
     def writer(df, i):
         return df.writeStream.outputMode("update").foreachBatch(parquet_batches(out))
@@ -316,18 +327,20 @@ def _stream_buckets(spark: SparkSession, sf_dir: str, frame_of) -> DataFrame:
 
 
 def q_stream_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lateness = _lateness(spark, sf_dir)
+
     def frame_of(stream: DataFrame) -> DataFrame:
-        return stream_preprocess(stream, bucket_ticks=DAY_TICKS, watermark=STREAM_LATENESS, with_bucket=True)
+        return stream_preprocess(stream, bucket_ticks=DAY_TICKS, watermark=lateness, with_bucket=True)
 
     out = _stream_buckets(spark, sf_dir, frame_of)
     return _rounded(out.select(*OUTPUT_COLUMNS), ["timestamp", *FEATURES])
 
 
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = _train_on_events(spark, sf_dir).model
+    model, lateness = _train_on_events(spark, sf_dir).model, _lateness(spark, sf_dir)
 
     def frame_of(stream: DataFrame) -> DataFrame:
-        scored = score_stream(stream, model, bucket_ticks=DAY_TICKS, watermark=STREAM_LATENESS, with_bucket=True)
+        scored = score_stream(stream, model, bucket_ticks=DAY_TICKS, watermark=lateness, with_bucket=True)
         return scored.select(*OUTPUT_COLUMNS, "bucket", "predictedLabel")
 
     out = _stream_buckets(spark, sf_dir, frame_of)
@@ -339,7 +352,7 @@ EVENTS_STREAM_OUTPUT = ("timestamp", "user_id", "event_type", "value", "k")
 
 def q_stream_bucket_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 on the events table read as a Parquet stream: day-window means per user and type."""
-    schema = _table(spark, sf_dir, "events").schema
+    schema, lateness = _table(spark, sf_dir, "events").schema, _lateness(spark, sf_dir)
     stream = read_parquet_stream(spark, sf_dir, schema, file_glob="events.parquet")
     timed = stream.select(
         "user_id",
@@ -351,7 +364,7 @@ def q_stream_bucket_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     frame = stream_bucketed_mean(
         timed,
         DAY_TICKS,
-        watermark=STREAM_LATENESS,
+        watermark=lateness,
         keys=("user_id", "event_type"),
         measures=("value", "k"),
         output=EVENTS_STREAM_OUTPUT,
@@ -368,8 +381,8 @@ def q_stream_bucket_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_kafka_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value")
-    return kafka_payload(ev, "user_id")
+    """The whole row as the message."""
+    return kafka_payload(_table(spark, sf_dir, "events"), "user_id")
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -492,10 +505,11 @@ def sql_preprocess(width: int = DAY_TICKS) -> str:
 def _sql_bucket(how: str) -> str:
     bucket = f"CAST(round({event_seconds_sql()} * 100) AS BIGINT) // {DAY_TICKS}"
     return f"""WITH e AS (
-  SELECT user_id, event_type, {bucket} AS bucket, value,
+  SELECT user_id, event_type, {bucket} AS bucket, {event_seconds_sql()} AS seconds, value,
     TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k
   FROM events)
-SELECT user_id, event_type, bucket, {_round(f'{how}(value)')} AS value, {_round(f'{how}(k)')} AS k
+SELECT user_id, event_type, bucket, {_round(f'{how}(seconds)', BUCKET_DIGITS)} AS timestamp,
+  {_round(f'{how}(value)', BUCKET_DIGITS)} AS value, {_round(f'{how}(k)', BUCKET_DIGITS)} AS k
 FROM e GROUP BY user_id, event_type, bucket"""
 
 
@@ -597,7 +611,8 @@ SELECT e.vec_id, r.label_text, r.label_index FROM embeddings e JOIN r ON CAST(e.
         "stream_preprocess": sql_preprocess(),
         "stream_bucket_avg": _sql_stream_events(),
         "kafka_payload": """SELECT CAST(user_id AS VARCHAR) AS key,
-  to_json(struct_pack(event_id := event_id, user_id := user_id, event_type := event_type, value := value)) AS value
+  to_json(struct_pack(event_id := event_id, ts := strftime(ts, '%Y-%m-%dT%H:%M:%S.%g'), user_id := user_id,
+    event_type := event_type, value := value, props := props)) AS value
 FROM events""",
         **(llm.oracle_sql() if llm else {}),
     }

@@ -20,6 +20,7 @@ from pyspark.sql import SparkSession
 
 from kinesia.plans.jobs import preprocess_job, stream_job, train_job
 from kinesia.schema import FEATURES, HR_FREQ_HZ, IMU_FREQ_HZ, LABEL
+from kinesia.session import apply_defaults
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -69,6 +70,7 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> dict:
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"kinesia-{args.job}").getOrCreate()
+    apply_defaults(spark)
     if args.job == "preprocess":
         if not args.console and not args.output:
             raise SystemExit("preprocess needs --output or --console")

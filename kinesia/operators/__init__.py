@@ -1,7 +1,6 @@
 """Table operators: ``DataFrame -> DataFrame`` steps of the jobs."""
 
 from kinesia.operators.aggregate import bucketed_mean, distinct_values, multi_agg, row_count
-from kinesia.operators.partitioning import balance
 from kinesia.operators.filters import drop_empty_rows, drop_incomplete, drop_key, keep_key
 from kinesia.operators.projections import (
     drop_columns,
@@ -13,7 +12,6 @@ from kinesia.operators.projections import (
 from kinesia.operators.setops import preview, single_file, sort_by, union_all
 
 __all__ = [
-    "balance",
     "bucketed_mean",
     "distinct_values",
     "drop_columns",

@@ -64,6 +64,13 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, **conf) ->
     return spark
 
 
+def apply_defaults(spark: SparkSession) -> None:
+    """The SQL settings above on a given session, but for those that the user has set."""
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql.") and spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder from ``spark.checkpoint.dir``.
 

@@ -2,7 +2,7 @@
 
 from kinesia.plans.jobs import preprocess_job, run_batch, stream_job, train_job
 from kinesia.schema import FEATURES, LABEL, OUTPUT_COLUMNS
-from kinesia.session import shared_dir
+from kinesia.session import apply_defaults, shared_dir
 from kinesia.sinks.files import write_csv
 from kinesia.sources.imu_view import imu_from_events
 
@@ -64,3 +64,17 @@ def test_kafka_sink_requires_servers_and_topic(spark):
 
     with pytest.raises(ValueError, match="topic"):
         run_stream(spark, [], shared_dir(spark, "kafka-ckpt"), sink="kafka", kafka={"servers": "h:9092"})
+
+
+def test_session_defaults_do_not_replace_what_is_set(spark):
+    key, kept = "spark.sql.codegen.hugeMethodLimit", "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+    spark.conf.set(kept, "false")
+    try:
+        apply_defaults(spark)
+        assert spark.conf.get(key) == "8000"
+        assert spark.conf.get(kept) == "false"
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set(kept, "true")

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from imu_rows import raw_frame, raw_row
 from kinesia.operators import (
-    balance,
     bucketed_mean,
     distinct_values,
     drop_empty_rows,
@@ -16,6 +15,7 @@ from kinesia.operators import (
     multi_agg,
     preview,
     row_count,
+    sort_by,
     union_all,
     with_magnitudes,
 )
@@ -140,11 +140,9 @@ def test_filters_and_set_ops(spark):
     assert [r.v for r in top] == [3, 2]
 
 
-def test_balance_only_when_under_partitioned(spark):
-    small = spark.range(100).coalesce(1)
-    assert balance(small, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(0, 100, 1, 6)  # six splits, no shuffle
-    assert balance(wide, 4) is wide
+def test_sort_by_orders_across_partitions(spark):
+    df = spark.range(0, 1000, 1, 6).select(((F.col("id") * 7919) % 1000).alias("v"))
+    assert [r.v for r in sort_by(df, F.col("v").desc()).collect()] == list(range(999, -1, -1))
 
 
 def test_bucket_time_overflow_keeps_the_bucket(spark):

@@ -1,6 +1,6 @@
 """Plan-shape checks: the properties the design relies on at scale stay true."""
 
-from kinesia.operators import balance, keep_key
+from kinesia.operators import keep_key
 from kinesia.plans.preprocess import preprocess
 from kinesia.schema import FEATURES, LABEL
 from kinesia.session import shared_dir
@@ -56,13 +56,3 @@ def test_feature_scan_reads_only_features_and_label(spark, events):
     schema = plan.split("ReadSchema: ")[1].split("\n")[0]
     assert all(f"{c}:" in schema for c in (*FEATURES, LABEL))
     assert "timestamp" not in schema and "user_id" not in schema
-
-
-def test_balance_adds_no_shuffle_to_split_inputs(spark):
-    path = shared_dir(spark, "plan-multi-file")
-    spark.range(100000).repartition(6).write.parquet(path)
-    wide = spark.read.parquet(path)
-    assert wide.rdd.getNumPartitions() >= 2
-    assert "Exchange" not in _plan(balance(wide, 2))
-    narrow = spark.read.parquet("/root/testdata/sf0.001/events.parquet")  # one row group
-    assert "RoundRobinPartitioning(8)" in _plan(balance(narrow, 8))
