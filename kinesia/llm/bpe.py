@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NO_PAIR = 1 << 62
-CACHED_WORDS = 1 << 19  # about 120 MB a task
+CACHED_WORDS = 1 << 18  # about 120 MB a task when full
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
