@@ -5,8 +5,12 @@ patterns and checks. To these, information-theoretic sanitisation adds terms: ov
 the documents of the corpus, a term t reveals an entity e (a found value) by their
 pointwise mutual information PMI = ln(N * n(t, e) / (n(t) * n(e))), out of the
 entity's information content IC = ln(N / n(e)). A term whose PMI reaches the
-disclosure share of IC, met often enough to tell, is generalised in the documents
-that hold the entity.
+disclosure share of IC is generalised in the documents that hold the entity. Every
+pair is scored, whatever its counts. Against chance, p(e | t) = n(t, e) / n(t) is
+smoothed towards the base rate p(e) = n(e) / N, as if PRIOR documents more with the
+term had been met: PMI = ln((n(t, e) + PRIOR p(e)) / (n(t) + PRIOR) / p(e)). A pair
+met once so loses ln(1.5), which stays above the share where the entity is rare
+enough: with the threshold of 0.9, from 58 documents on for an entity in one of them.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ HINTS = {"email": "@", "phone": "+", "ip": ".", "card": None}
 OCTETS = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])){3}$"
 TERM = r"[\p{L}\p{M}]{3,}"
 DISCLOSURE = 0.9
-SUPPORT = 3
+PRIOR = 0.5
 CELL_WORDS = 16384  # 64-bit words of the bitmap of wanted terms
 DOC_WORDS = 4096  # 64-bit words of the bitmap of documents with terms
 
@@ -97,11 +101,12 @@ def found_base(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return rows.select("doc_id", "text", *[base_spans(F.col("text"), k).alias(k) for k in KINDS])
 
 
-def _reveals(total: int, disclosure: float) -> Column:
-    """Whether the term's mutual information reaches the share of the entity's information content."""
-    n = F.lit(float(total))
-    content = F.log(n / F.col("n_e"))
-    return (content > 0) & (F.log(n * F.col("n_te") / (F.col("n_t") * F.col("n_e"))) >= disclosure * content)
+def _reveals(total: int, disclosure: float, prior: float) -> Column:
+    """Whether the term's smoothed mutual information reaches the share of the entity's information content."""
+    share = F.col("n_e") / F.lit(float(max(total, 1)))  # an empty table has no pairs, but constants are folded
+    content = -F.log(share)
+    given = (F.col("n_te") + F.lit(prior) * share) / (F.col("n_t") + F.lit(prior))
+    return (content > 0) & (F.log(given / share) >= disclosure * content)
 
 
 def _bitmap(keys: DataFrame, words: int) -> Callable[[Column], Column]:
@@ -116,40 +121,49 @@ def _bitmap(keys: DataFrame, words: int) -> Callable[[Column], Column]:
     return lambda k: F.getbit(F.element_at(bits, F.shiftright(cell(k), 6) + 1), cell(k) % 64) == 1
 
 
-def revealing_terms(spark: SparkSession, found: DataFrame, total: int, disclosure: float, support: int) -> DataFrame:
-    """(doc_id, terms): the terms of a document that reveal one of its entities."""
+def revealing_terms(spark: SparkSession, found: DataFrame, total: int, disclosure: float, prior: float) -> DataFrame:
+    """(doc_id, terms): the terms of a document that reveal one of its entities.
+
+    The entities that one document only holds have the same counts with each of its
+    terms (n_te = n_e = 1): they are scored once per term, not once per pair.
+    """
     everything = F.concat(*KINDS)
     values = F.array_distinct(F.transform(everything, lambda s: F.concat_ws(":", s["rank"], s["value"])))
     with_entity = found.filter((F.size(everything) > 0) & F.col("doc_id").isNotNull())
     pairs = stored(spark, with_entity.select("doc_id", F.explode(values).alias("entity")).distinct(), "pii-entities")
-    entities = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e")).filter(F.col("n_e") >= support)
-    held = pairs.join(entities, "entity")
+    entities = pairs.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"), F.min("doc_id").alias("only"))
+    entities = stored(spark, entities, "pii-counts")
+    single = entities.filter("n_e = 1").select(F.col("only").alias("doc_id")).distinct()
+    held = pairs.join(entities.filter("n_e > 1").drop("only"), "entity")
 
     clear = F.col("text")
     for kind in ("email",):  # letters occur in this kind only
         clear = F.when(F.contains("text", F.lit("@")), F.regexp_replace(clear, PATTERNS[kind], " ")).otherwise(clear)
     words = F.array_distinct(F.regexp_extract_all(clear, F.lit(TERM), F.lit(0)))
-    # terms of documents with an entity that is met often enough; then their counts over all documents
-    some = held.select("doc_id").distinct()
-    local = with_entity.select("doc_id", "text").join(some, "doc_id", "left_semi").select("doc_id", F.explode(words).alias("term")).distinct()
-    local = stored(spark, local, "pii-local")
+    # terms of documents with an entity; then the counts over all documents of those that may reveal one
+    local = stored(spark, with_entity.select("doc_id", F.explode(words).alias("term")).distinct(), "pii-local")
     met = stored(spark, local.join(held, "doc_id").select("doc_id", "entity", "n_e", "term"), "pii-terms")
-    joint = met.groupBy("entity", "term").agg(F.first("n_e").alias("n_e"), F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= support)
+    joint = met.groupBy("entity", "term").agg(F.first("n_e").alias("n_e"), F.count(F.lit(1)).alias("n_te"))
     # a term's documents seen so far are no more than all its documents: pairs that they rule out already go
-    seen = local.groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
-    joint = joint.join(seen, "term").filter(_reveals(total, disclosure)).drop("n_t")
-    joint = stored(spark, joint, "pii-joint")
+    reveals = _reveals(total, disclosure, prior)
+    seen = stored(spark, local.groupBy("term").agg(F.count(F.lit(1)).alias("n_t")), "pii-seen")
+    once = lambda df: df.withColumns({"n_e": F.lit(1), "n_te": F.lit(1)}).filter(reveals).select("term")
+    joint = stored(spark, joint.join(seen, "term").filter(reveals).drop("n_t"), "pii-joint")
+    rare = stored(spark, once(seen), "pii-rare")
     # terms are counted over all documents; a bitmap of the wanted terms leaves out most others before they are sent
-    has = _bitmap(joint.select("term"), CELL_WORDS)
+    has = _bitmap(joint.select("term").unionByName(rare), CELL_WORDS)
     maybe = F.filter(words, has)
     everywhere = found.select(F.explode(maybe).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    everywhere = stored(spark, everywhere, "pii-everywhere")
     # an inner join: a semi join would be pushed below the count, and send every occurrence
-    scored = joint.join(everywhere, "term")
-    flagged = scored.filter(_reveals(total, disclosure)).select("entity", "term")
-    return met.join(flagged, ["entity", "term"]).groupBy("doc_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
+    flagged = joint.join(everywhere, "term").filter(reveals).select("entity", "term")
+    out = met.join(flagged, ["entity", "term"]).select("doc_id", "term")
+    alone = stored(spark, once(everywhere.join(rare, "term")), "pii-alone")
+    of_single = local.filter(_bitmap(alone, CELL_WORDS)(F.col("term"))).join(alone, "term").join(single, "doc_id").select("doc_id", "term")
+    return out.unionByName(of_single).groupBy("doc_id").agg(F.array_sort(F.collect_set("term")).alias("terms"))
 
 
-def sanitise(spark: SparkSession, docs: DataFrame, disclosure: float = DISCLOSURE, support: int = SUPPORT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sanitise(spark: SparkSession, docs: DataFrame, disclosure: float = DISCLOSURE, prior: float = PRIOR, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, text, email, ip, card, phone, term (spans), sanitised (text).
 
     Spans have start and end in code points. Base spans of different kinds may
@@ -159,7 +173,7 @@ def sanitise(spark: SparkSession, docs: DataFrame, disclosure: float = DISCLOSUR
     only; rows that repeat a doc_id share their terms. Other columns are ignored.
     """
     found = found_base(docs, doc_id, text)
-    terms = stored(spark, revealing_terms(spark, found, found.count(), disclosure, support), "pii-flagged")
+    terms = stored(spark, revealing_terms(spark, found, found.count(), disclosure, prior), "pii-flagged")
     # the text of a document is sent only where a bitmap lets it pass as one with terms
     some = F.coalesce(_bitmap(terms.select("doc_id"), DOC_WORDS)(F.col("doc_id")), F.lit(False)) & F.col("doc_id").isNotNull()
     joined = found.filter(some).join(terms.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")

@@ -177,6 +177,16 @@ def test_pii_terms(spark):
     assert out[0].sanitised == "[TERM] wrote to [EMAIL], not to bbbb" and out[10].sanitised == "not to wrote here"
 
 
+def test_pii_terms_of_rare_entities(spark):
+    rows = [(0, "Quixby wrote to a@ex.org and b@ex.org"), (1, "Vortle wrote to c@ex.org"), (2, "wrote to c@ex.org, Vortle"), (3, "Vortle wrote")]
+    rows += [(4, "Plugh wrote to d@ex.org"), (5, "Plugh wrote to d@ex.org"), *((i, "wrote to nobody") for i in range(6, 1100))]
+    out = _by_id(pii.sanitise(spark, spark.createDataFrame(rows, "doc_id long, text string")))
+    assert out[0].sanitised == "[TERM] wrote to [EMAIL] [TERM] [EMAIL]"
+    assert out[4].sanitised == out[5].sanitised == "[TERM] wrote to [EMAIL]"
+    # a third document with the term and without the entity: PMI = ln(2 N / (3 * 2)) = 0.94 IC, 0.91 smoothed
+    assert out[1].sanitised == "[TERM] wrote to [EMAIL]" and out[3].sanitised == "Vortle wrote"
+
+
 def test_mixing(docs, rows):
     size = {i: len(WORD.findall(t or "")) for i, t, *_ in rows}
     source = {r[0]: r[3] for r in rows}
