@@ -119,7 +119,9 @@ def mix_sources(
     )
     ring = Window.partitionBy("source", "shard")
     order = ring.orderBy("draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    laid = placed.withColumn("end", F.sum("size").over(order)).withColumn("around", F.sum("size").over(ring))
+    # a ring without tokens counts as one token around: it is a divisor, and nothing is taken from such a ring
+    around = F.greatest(F.sum("size").over(ring), F.lit(1))
+    laid = placed.withColumn("end", F.sum("size").over(order)).withColumn("around", around)
     laid = laid.join(
         shard_quota, F.col("source").eqNullSafe(F.col("_source")) & (F.col("shard") == F.col("_shard")), "left"
     )

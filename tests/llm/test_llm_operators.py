@@ -215,6 +215,21 @@ def test_mixing(docs, rows):
     assert all(abs(taken[s] - target[s]) <= 16 for s in order)
 
 
+@pytest.mark.parametrize("texts", [["", None, " \t"], ["", None, "one two three"]])
+def test_mixing_of_a_source_without_words(spark, texts):
+    rows = [(i, t, "blank" if i < 2 else "other") for i, t in enumerate(texts)]
+    out = _by_id(mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), block=1))
+    assert [(out[i]["size"], out[i].source_size, out[i].target, out[i].taken) for i in (0, 1)] == [(0, 0, 0.0, 0)] * 2
+    n = out[2]["size"]
+    assert out[2].target == 1.5 * n and abs(out[2].taken - 1.5 * n) <= 1
+
+
+def test_mixing_of_a_shard_without_words(spark):
+    rows = [(0, "word " * 40, "a"), *((i, None, "a") for i in range(1, 30))]
+    out = _by_id(mixing.mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string"), shard_tokens=4))
+    assert abs(out[0].taken - 60) <= 8 and all(out[i].taken == 0 for i in range(1, 30))
+
+
 def test_bpe_equals_the_library(docs, rows):
     from tokenizers import Tokenizer
 
