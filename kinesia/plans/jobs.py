@@ -20,7 +20,7 @@ from kinesia.sinks.kafka import kafka_stream_writer
 from kinesia.sources.csv import read_csv, read_csv_stream
 from kinesia.sources.models import load_pipeline
 from kinesia.sources.parquet import read_features
-from kinesia.streaming.runner import await_all, await_any, start_outputs
+from kinesia.streaming.runner import LateRows, await_all, await_any, start_outputs
 
 
 def run_batch(frames: Sequence[DataFrame], paths: Sequence[str] | None = None, *, console: bool = False) -> None:
@@ -42,7 +42,11 @@ def run_stream(
     available_now: bool = False,
     kafka: dict | None = None,
 ) -> list[StreamingQuery]:
-    """Start one query per output on the console or Kafka, then wait."""
+    """Start one query per output on the console or Kafka, then wait.
+
+    Rows dropped by a watermark are reported as warnings while waiting, and raise
+    ``RuntimeError`` at the end of an ``available_now`` run.
+    """
     if sink == "console":
         def writer(df, i):
             return console_stream_writer(df, output_mode)
@@ -60,9 +64,9 @@ def run_stream(
         raise ValueError(f"unknown sink {sink!r}")
     queries = start_outputs(frames, writer, checkpoint_root, available_now=available_now)
     if available_now:
-        await_all(queries)
+        await_all(queries, late=LateRows(queries))
     else:
-        await_any(spark, queries, timeout_ms)
+        await_any(spark, queries, timeout_ms, LateRows(queries))
     return queries
 
 
@@ -96,7 +100,7 @@ def stream_job(
 
     ``bucket_ticks`` must be the width the model was trained on. Readings later than
     ``watermark`` behind the latest one are dropped, so set it to the delay of the
-    landing files. In update mode the bucket key is part of the output unless
+    landing files; ``run_stream`` reports such rows, and raises in ``available_now`` runs. In update mode the bucket key is part of the output unless
     ``with_bucket`` is False: consumers need it to replace a bucket's earlier means.
     """
     stream = read_csv_stream(spark, input_dir, max_files_per_trigger=max_files_per_trigger)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import time
 from collections.abc import Callable, Sequence
 
@@ -10,6 +11,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 BATCH_COLUMN = "_batch_id"
+POLL_S = 5.0  # Spark keeps the progress of the last 100 batches of a query
+
+log = logging.getLogger(__name__)
+
+
+class LateRows:
+    """Rows that the watermark dropped from ``queries``, as far as ``poll`` has seen their batches.
+
+    Spark counts them behind the map-side partial aggregate: the number is of partial
+    rows, zero only if no reading was dropped.
+    """
+
+    def __init__(self, queries: Sequence[StreamingQuery]):
+        self.queries = queries
+        self.batches: dict[tuple[str, int], int] = {}
+
+    def poll(self) -> int:
+        before = self.total
+        for q in self.queries:
+            for p in q.recentProgress:
+                dropped = sum(op.numRowsDroppedByWatermark for op in p.stateOperators)
+                key = (str(q.id), p.batchId)
+                self.batches[key] = max(dropped, self.batches.get(key, 0))
+        if self.total > before:
+            log.warning("the watermark dropped %d rows (%d so far)", self.total - before, self.total)
+        return self.total
+
+    @property
+    def total(self) -> int:
+        return sum(self.batches.values())
 
 
 def start_outputs(
@@ -33,41 +64,62 @@ def start_outputs(
     return queries
 
 
-def await_any(spark: SparkSession, queries: Sequence[StreamingQuery], timeout_ms: int = 0) -> bool:
+def await_any(
+    spark: SparkSession, queries: Sequence[StreamingQuery], timeout_ms: int = 0, late: LateRows | None = None
+) -> bool:
     """Block until one of ``queries`` ends (T5); ``timeout_ms`` 0 waits forever.
 
     Returns True if one of them terminated (a failed one re-raises), False on
     timeout. Terminations of other queries in the session are ignored: the
     session-wide wait is reset first and resumed if something else woke it.
+    ``late`` is polled while waiting, and warns of rows dropped by the watermark.
     """
     deadline = time.monotonic() + timeout_ms / 1000.0 if timeout_ms else None
     while True:
+        if late is not None:
+            late.poll()
         spark.streams.resetTerminated()
         for q in queries:
             if not q.isActive:
                 if q.exception() is not None:
                     raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
                 return True
-        if deadline is None:
+        remaining = deadline - time.monotonic() if deadline is not None else None
+        if remaining is not None and remaining <= 0:
+            return any(not q.isActive for q in queries)
+        if late is not None:
+            spark.streams.awaitAnyTermination(POLL_S if remaining is None else min(POLL_S, remaining))
+        elif remaining is None:
             spark.streams.awaitAnyTermination()
         else:
-            remaining = deadline - time.monotonic()
-            if remaining <= 0 or not spark.streams.awaitAnyTermination(remaining):
-                return any(not q.isActive for q in queries)
+            spark.streams.awaitAnyTermination(remaining)
 
 
-def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None) -> None:
+def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None, late: LateRows | None = None) -> None:
     """Wait for every (``availableNow``) query to finish, then surface failures.
 
     A query that has not ended after ``timeout_s`` seconds raises ``TimeoutError``.
+    With ``late``, rows that the watermark dropped raise ``RuntimeError`` at the end.
     """
     for q in queries:
-        if timeout_s is None:
+        deadline = time.monotonic() + timeout_s if timeout_s is not None else None
+        while late is not None or deadline is not None:
+            remaining = float("inf") if deadline is None else deadline - time.monotonic()
+            if q.awaitTermination(max(0.001, remaining if late is None else min(POLL_S, remaining))):
+                break
+            if late is not None:
+                late.poll()
+            if deadline is not None and time.monotonic() >= deadline:
+                raise TimeoutError(f"streaming query {q.name or q.id} has not ended after {timeout_s} s")
+        else:
             q.awaitTermination()
-        elif not q.awaitTermination(timeout_s):
-            raise TimeoutError(f"streaming query {q.name or q.id} has not ended after {timeout_s} s")
         if q.exception() is not None:
             raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
+    if late is not None and late.poll():
+        raise RuntimeError(
+            f"the watermark dropped {late.total} late rows: the output is not whole; "
+            "run again with a longer watermark and a new checkpoint"
+        )
 
 
 def parquet_batches(path: str) -> Callable[[DataFrame, int], None]:
