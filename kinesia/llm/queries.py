@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kinesia.llm import bpe, embed_dedup, exact_dedup, langid, mixing, ngram_join, pii, suffix_dedup, warc, window_dedup
+from kinesia.llm import bpe, collocations, embed_dedup, exact_dedup, langid, mixing, ngram_join, pii, quality, suffix_dedup, vector_codes, warc, window_dedup
+from kinesia.llm.sql import collocations_sql, quality_sql, vector_codes_sql
 from kinesia.session import shared_dir
 
 WORD_BPE = "word_bpe_49k.json"
@@ -67,12 +68,26 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(spark, _documents(spark, sf_dir))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = vector_codes.vector_codes(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return out.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(spark, _documents(spark, sf_dir)).select("doc_id", *quality.COUNTS, "base_failed", "kept")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, _documents(spark, sf_dir)).drop("cut")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     ops = (
         op1_ngram_jaccard_join, op2_suffix_dedup, op3_exact_dedup, op4_warc, op5_pii,
         op6_mix_sources, op7_bpe, op8_window_dedup, op9_embedding_dedup, op10_language_id,
+        op11_vector_codes, op12_quality_rules, op13_collocations,
     )
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
@@ -139,6 +154,9 @@ def oracle_sql() -> dict[str, str]:
         "op3_exact_dedup": EXACT_DEDUP_SQL,
         "op8_window_dedup": window_dedup_sql(),
         "op9_embedding_dedup": EMBEDDING_SQL,
+        "op11_vector_codes": vector_codes_sql(),
+        "op12_quality_rules": quality_sql(),
+        "op13_collocations": collocations_sql(),
         "pipeline": corpus_pipeline.ORACLE_SQL,
     }
     return {k: v for k, v in out.items() if v is not None}
