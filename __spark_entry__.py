@@ -23,9 +23,11 @@ from pyspark.sql import functions as F
 
 from kinesia.functions import bucket_index, bucket_width, composite_key, joined_values, magnitude, time_tick
 from kinesia.functions.missing import sentinel_to_null, to_int
+from kinesia.ml.correlation import correlations, prune_features
 from kinesia.ml.evaluate import accuracy_frame
 from kinesia.ml.features import assembler, category_indexer, fit_labels, standardize
 from kinesia.ml.split import HASH_MODULUS, HASH_MULTIPLIER, split_position
+from kinesia.ml.tree import CELLS, LEAST_GAIN, SCALE, fit_tree
 from kinesia.operators import (
     distinct_values,
     drop_empty_rows,
@@ -39,6 +41,8 @@ from kinesia.operators import (
     union_all,
     with_magnitudes,
 )
+from kinesia.operators.signature import GRID, flag_outliers, group_likeness
+from kinesia.plans.fill import fill_readings
 from kinesia.plans.jobs import preprocess_job
 from kinesia.plans.preprocess import preprocess
 from kinesia.plans.stream import passthrough, score_stream, stream_preprocess
@@ -67,6 +71,10 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 DAY_TICKS = 86_400 * 100  # one-day buckets: the events table has ~1 row per user per 10 h
 DIGITS = 6
 BUCKET_DIGITS = 4  # sums of seconds, added in any order
+FILL_SEGMENT_S = 2 * 86_400.0
+FILL_MAX_AGE_S = 3 * 86_400.0
+LEAST_TREND, MOST_ALIKE = 0.056, 0.99
+TREE_DEPTH, TREE_BINS = 3, 16
 EVENTS_KEYS = ["user_id", "event_type", "bucket"]
 STANDARDIZED_DIMS = 64  # the vectors of the embeddings table, whole
 
@@ -380,6 +388,53 @@ def q_stream_bucket_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(merged, ["timestamp", "value", "k"])
 
 
+def q_forward_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 over all readings: missing values carried across two-day segments of each (user, activity)."""
+    out = fill_readings(_imu(spark, sf_dir), segment_seconds=FILL_SEGMENT_S, complete=False)
+    return _rounded(out, FEATURES)
+
+
+def q_fill_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X1 as the preprocessing job: readings of at most three days ago fill, incomplete rows go."""
+    out = fill_readings(_imu(spark, sf_dir), segment_seconds=FILL_SEGMENT_S, max_age=FILL_MAX_AGE_S)
+    return _rounded(out, FEATURES)
+
+
+def _bucket_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bucket means, rounded and staged: what follows reads them several times."""
+    path = shared_dir(spark, "bucket-means")
+    out = preprocess(_imu(spark, sf_dir), bucket_ticks=DAY_TICKS, ordered=False)
+    write_outputs([_rounded(out, ["timestamp", *FEATURES])], [path])
+    return spark.read.parquet(path)
+
+
+def q_correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(correlations(_bucket_means(spark, sf_dir), FEATURES), ["correlation"])
+
+
+def q_correlation_prune(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = prune_features(
+        _bucket_means(spark, sf_dir), METRICS, target="heart_rate", label=LABEL, least_trend=LEAST_TREND, most_alike=MOST_ALIKE
+    )
+    rows = [(p.feature, p.target_correlation, p.label_ratio, p.kept) for p in found]
+    return spark.createDataFrame(rows, "feature string, target_correlation double, label_ratio double, kept boolean")
+
+
+def q_signature_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = flag_outliers(_bucket_means(spark, sf_dir), FEATURES, [LABEL])
+    return _rounded(out.select("timestamp", "user_id", LABEL, "cosine", "outlier"), ["cosine"])
+
+
+def q_signature_likeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(group_likeness(_bucket_means(spark, sf_dir)), ["cosine"])
+
+
+def q_tree_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets = _bucket_means(spark, sf_dir)
+    tree = fit_tree(buckets, FEATURES, LABEL, max_depth=TREE_DEPTH, bins=TREE_BINS)
+    return tree.transform(buckets).select("timestamp", "user_id", LABEL, tree.leaf().alias("leaf"), "predictedLabel")
+
+
 def q_kafka_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole row as the message."""
     return kafka_payload(_table(spark, sf_dir, "events"), "user_id")
@@ -437,6 +492,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_score": q_stream_score,
         "stream_bucket_avg": q_stream_bucket_avg,
         "kafka_payload": q_kafka_payload,
+        "forward_fill": q_forward_fill,
+        "fill_readings": q_fill_readings,
+        "correlation_matrix": q_correlation_matrix,
+        "correlation_prune": q_correlation_prune,
+        "signature_outliers": q_signature_outliers,
+        "signature_likeness": q_signature_likeness,
+        "tree_score": q_tree_score,
         **(llm.queries() if llm else {}),
     }
 
@@ -563,6 +625,122 @@ def _stream_typed_sql() -> str:
     return _imu_select(", ".join(cols))
 
 
+def _fill_sql(max_age: float | None, complete: bool) -> str:
+    order = "PARTITION BY user_id, activity_id ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+    cols = []
+    for c in FEATURES:
+        last = f"last_value({c} IGNORE NULLS) OVER w"
+        if max_age is not None:
+            at = f"last_value(CASE WHEN {c} IS NOT NULL THEN timestamp END IGNORE NULLS) OVER w"
+            last = f"CASE WHEN timestamp - {at} <= {max_age} THEN {last} END"
+        cols.append(f"{_round(last)} AS {c}")
+    where = " AND ".join(f"{c} IS NOT NULL" for c in FEATURES) if complete else "true"
+    return f"""WITH {_reduced_sql()},
+filled AS (SELECT timestamp, user_id, activity_id, {", ".join(cols)} FROM reduced
+  WHERE user_id IS NOT NULL AND activity_id IS NOT NULL AND timestamp IS NOT NULL WINDOW w AS ({order}))
+SELECT * FROM filled WHERE {where}"""
+
+
+def _corr_sql(a: str, b: str) -> str:
+    return f"CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN round(corr({a}, {b}), {DIGITS}) END"
+
+
+def _correlation_sql() -> str:
+    pairs = [
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, count({a} + {b}) AS n, {_corr_sql(a, b)} AS correlation FROM buckets"
+        for i, a in enumerate(FEATURES) for b in FEATURES[i + 1 :]
+    ]
+    return f"{_buckets_sql()}\n" + " UNION ALL ".join(pairs)
+
+
+def _prune_sql() -> str:
+    """The greedy drop as a recursion over the pairs, most alike first."""
+    each = " UNION ALL ".join(
+        f"SELECT {i} AS i, '{f}' AS feature, {_corr_sql(f, 'heart_rate')} AS r, (SELECT round(sqrt(sum(n * (m - w) * (m - w)) / max(t)), {DIGITS})"
+        f" FROM (SELECT count(*) AS n, avg({f}) AS m, (SELECT avg({f}) FROM buckets) AS w, (SELECT var_pop({f}) * count(*) FROM buckets) AS t"
+        f" FROM buckets GROUP BY activity_id)) AS eta FROM buckets"
+        for i, f in enumerate(METRICS)
+    )
+    pairs = " UNION ALL ".join(
+        f"SELECT {i} AS i, {j} AS j, abs({_corr_sql(a, b)}) AS alike FROM buckets" for i, a in enumerate(METRICS) for j, b in enumerate(METRICS) if i < j
+    )
+    return f"""{_buckets_sql().replace("WITH ", "WITH RECURSIVE ", 1)},
+each_feature AS ({each}),
+trends AS (SELECT *, greatest(abs(coalesce(r, 0)), coalesce(eta, 0)) AS trend FROM each_feature),
+pairs AS ({pairs}),
+steps AS (SELECT p.i, p.j, CASE WHEN a.trend < b.trend THEN p.i ELSE p.j END AS loser, row_number() OVER (ORDER BY alike DESC, p.i, p.j) AS step
+  FROM pairs p JOIN trends a ON a.i = p.i JOIN trends b ON b.i = p.j WHERE alike >= {MOST_ALIKE}),
+gone AS (SELECT CAST(0 AS BIGINT) AS step, coalesce((SELECT list(i) FROM trends WHERE trend < {LEAST_TREND}), CAST([] AS INTEGER[])) AS lost
+  UNION ALL SELECT s.step, CASE WHEN list_contains(lost, s.i) OR list_contains(lost, s.j) THEN lost ELSE list_append(lost, s.loser) END
+  FROM gone g JOIN steps s ON s.step = g.step + 1),
+final AS (SELECT lost FROM gone ORDER BY step DESC LIMIT 1)
+SELECT feature, r AS target_correlation, coalesce(eta, 0) AS label_ratio, NOT list_contains(lost, i) AS kept FROM trends, final"""
+
+
+def _cosine_sql(left, right) -> str:
+    length = lambda v: "sqrt(" + " + ".join(f"{x} * {x}" for x in v) + ")"
+    dot = " + ".join(f"{a} * {b}" for a, b in zip(left, right))
+    return f"CASE WHEN {length(left)} * {length(right)} > 0 THEN ({dot}) / ({length(left)} * {length(right)}) END"
+
+
+def _outliers_sql(percent: int = 5, fence: float = 1.5) -> str:
+    sigs = ", ".join(f"avg({f}) AS sig_{f}" for f in FEATURES)
+    value = _cosine_sql([f"b.{f}" for f in FEATURES], [f"sig_{f}" for f in FEATURES])
+    return f"""{_buckets_sql()},
+sigs AS (SELECT activity_id, {sigs} FROM buckets GROUP BY activity_id),
+scored AS (SELECT b.timestamp, b.user_id, b.activity_id, {value} AS cosine FROM buckets b JOIN sigs s ON b.activity_id = s.activity_id),
+celled AS (SELECT *, CAST(round(cosine * {GRID}) AS BIGINT) AS cell FROM scored),
+cells AS (SELECT activity_id, cell, count(*) AS n FROM celled WHERE cell IS NOT NULL GROUP BY activity_id, cell),
+ranked AS (SELECT *, sum(n) OVER (PARTITION BY activity_id ORDER BY cell) AS upto, sum(n) OVER (PARTITION BY activity_id) AS total FROM cells),
+marks AS (SELECT activity_id, min(CASE WHEN 100 * upto >= {percent} * total THEN cell END) AS low, min(CASE WHEN 100 * upto >= 50 * total THEN cell END) AS mid
+  FROM ranked GROUP BY activity_id)
+SELECT timestamp, user_id, c.activity_id, {_round("cosine")} AS cosine, coalesce(cell < floor(low - {fence} * (mid - low)), false) AS outlier
+FROM celled c LEFT JOIN marks m ON c.activity_id = m.activity_id"""
+
+
+def _likeness_sql() -> str:
+    sigs = ", ".join(f"avg({f}) AS sig_{f}" for f in FEATURES)
+    wide = ", ".join(f"avg(sig_{f}) AS all_{f}" for f in FEATURES)
+    value = _cosine_sql([f"sig_{f}" for f in FEATURES], [f"all_{f}" for f in FEATURES])
+    return f"""{_buckets_sql()},
+own AS (SELECT user_id, activity_id, {sigs} FROM buckets GROUP BY user_id, activity_id),
+wide AS (SELECT activity_id, {wide} FROM own GROUP BY activity_id)
+SELECT user_id, own.activity_id, {_round(value)} AS cosine FROM own JOIN wide ON own.activity_id = wide.activity_id"""
+
+
+def _tree_sql() -> str:
+    """The tree grown in SQL: equal cells, bins of equal counts, then the purest split of each open node, level by level."""
+    rows = " UNION ALL ".join(f"SELECT rid, activity_id AS label, {i} AS f, CAST(round({f} * {SCALE}) AS BIGINT) AS q FROM d" for i, f in enumerate(FEATURES))
+    ctes = [
+        "d AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY timestamp, user_id, activity_id) AS rid FROM buckets)",
+        f"lq AS ({rows})",
+        "e AS (SELECT f, min(q) AS a, max(q) AS b FROM lq GROUP BY f)",
+        f"c AS (SELECT rid, label, lq.f, CAST(floor(CAST((q - a) * {CELLS} AS DOUBLE) / CAST(b - a + 1 AS DOUBLE)) AS INTEGER) AS cell FROM lq JOIN e ON lq.f = e.f)",
+        "h AS (SELECT f, cell, count(*) AS n FROM c GROUP BY f, cell)",
+        f"cb AS (SELECT f, cell, (sum(n) OVER (PARTITION BY f ORDER BY cell) - n) * {TREE_BINS} // sum(n) OVER (PARTITION BY f) AS bin FROM h)",
+        "m AS MATERIALIZED (SELECT rid, label, c.f, bin FROM c JOIN cb ON c.f = cb.f AND c.cell = cb.cell)",
+        "n0 AS (SELECT rid, 1 AS node, true AS open FROM d)",
+    ]
+    for k in range(TREE_DEPTH):
+        ctes += [
+            f"h{k} AS (SELECT node, f, bin, label, count(*) AS n FROM m JOIN n{k} x ON m.rid = x.rid WHERE open GROUP BY node, f, bin, label)",
+            f"l{k} AS (SELECT c.node, c.f, c.bin, h.label, CAST(coalesce(sum(h.n) FILTER (h.bin <= c.bin), 0) AS BIGINT) AS l, CAST(sum(h.n) AS BIGINT) AS t"
+            f" FROM (SELECT DISTINCT node, f, bin FROM h{k}) c JOIN h{k} h ON h.node = c.node AND h.f = c.f GROUP BY c.node, c.f, c.bin, h.label)",
+            f"s{k} AS (SELECT node, f, bin, CAST(sum(l * l) AS DOUBLE) / sum(l) + CAST(sum((t - l) * (t - l)) AS DOUBLE) / sum(t - l) AS score,"
+            f" CAST(sum(t * t) AS DOUBLE) / sum(t) + {LEAST_GAIN} * sum(t) AS least FROM l{k} GROUP BY node, f, bin HAVING sum(l) > 0 AND sum(t - l) > 0)",
+            f"b{k} AS (SELECT node, f, bin FROM s{k} WHERE score > least QUALIFY row_number() OVER (PARTITION BY node ORDER BY score DESC, f, bin) = 1)",
+            f"n{k + 1} AS MATERIALIZED (SELECT x.rid, CASE WHEN b.node IS NULL THEN x.node WHEN m.bin <= b.bin THEN 2 * x.node ELSE 2 * x.node + 1 END AS node,"
+            f" x.open AND b.node IS NOT NULL AS open FROM n{k} x LEFT JOIN b{k} b ON x.open AND x.node = b.node LEFT JOIN m ON m.rid = x.rid AND m.f = b.f)",
+        ]
+    last = TREE_DEPTH
+    return f"""{_buckets_sql()},
+{", ".join(ctes)},
+votes AS (SELECT node, activity_id, count(*) AS n FROM n{last} x JOIN d ON x.rid = d.rid GROUP BY node, activity_id),
+leaves AS (SELECT node, activity_id AS label FROM votes QUALIFY row_number() OVER (PARTITION BY node ORDER BY n DESC, activity_id) = 1)
+SELECT timestamp, user_id, activity_id, CAST(x.node AS BIGINT) AS leaf, label AS "predictedLabel"
+FROM d JOIN n{last} x ON d.rid = x.rid JOIN leaves ON leaves.node = x.node"""
+
+
 def oracle_sql() -> dict[str, str]:
     llm = _llm()
     mag_view = f"""WITH {_reduced_sql()}
@@ -614,6 +792,13 @@ SELECT e.vec_id, r.label_text, r.label_index FROM embeddings e JOIN r ON CAST(e.
   to_json(struct_pack(event_id := event_id, ts := strftime(ts, '%Y-%m-%dT%H:%M:%S.%g'), user_id := user_id,
     event_type := event_type, value := value, props := props)) AS value
 FROM events""",
+        "forward_fill": _fill_sql(None, complete=False),
+        "fill_readings": _fill_sql(FILL_MAX_AGE_S, complete=True),
+        "correlation_matrix": _correlation_sql(),
+        "correlation_prune": _prune_sql(),
+        "signature_outliers": _outliers_sql(),
+        "signature_likeness": _likeness_sql(),
+        "tree_score": _tree_sql(),
         **(llm.oracle_sql() if llm else {}),
     }
 

@@ -11,15 +11,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from kinesia.ml.correlation import prune_features
+from kinesia.ml.tree import Tree, train_tree
+from kinesia.operators.signature import drop_outliers
+from kinesia.plans.fill import fill_readings
 from kinesia.plans.preprocess import preprocess
 from kinesia.plans.stream import passthrough, score_stream
 from kinesia.plans.train import TrainResult, train
+from kinesia.schema import FEATURES, LABEL
 from kinesia.sinks.console import console_stream_writer, show_outputs
 from kinesia.sinks.files import write_outputs
 from kinesia.sinks.kafka import kafka_stream_writer
 from kinesia.sources.csv import read_csv, read_csv_stream
 from kinesia.sources.models import load_pipeline
-from kinesia.sources.parquet import read_features
+from kinesia.sources.parquet import read_features, read_parquet
 from kinesia.streaming.runner import LateRows, await_all, await_any, start_outputs
 
 
@@ -71,17 +76,68 @@ def run_stream(
 
 
 def preprocess_job(
-    spark: SparkSession, csv_path: str, out_path: str | None = None, *, console: bool = False, **options
+    spark: SparkSession, csv_path: str, out_path: str | None = None, *, console: bool = False, fill: bool = False, **options
 ) -> DataFrame:
-    """Raw CSV -> bucket means -> Parquet (or console)."""
-    result = preprocess(read_csv(spark, csv_path), **options)
+    """Raw CSV -> bucket means, or with ``fill`` readings filled forward -> Parquet (or console)."""
+    raw = read_csv(spark, csv_path)
+    result = fill_readings(raw, **options) if fill else preprocess(raw, **options)
     run_batch([result], [out_path] if out_path else None, console=console)
     return result
 
 
-def train_job(spark: SparkSession, parquet_path: str, out_dir: str, **options) -> TrainResult:
-    """Bucket means -> model, scaler and hold-out predictions under ``out_dir``."""
-    return train(read_features(spark, parquet_path), out_dir=out_dir, **options)
+def selected_features(
+    df: DataFrame,
+    features: Sequence[str] = FEATURES,
+    label: str = LABEL,
+    *,
+    target: str | None = "heart_rate",
+    without_outliers: bool = False,
+    pruned: bool = False,
+    **limits,
+) -> tuple[DataFrame, list[str]]:
+    """(rows, features) to train on: rows unlike their label's signature go, then features that say nothing new.
+
+    ``target`` itself is never pruned. ``limits`` are those of ``prune_features``.
+    """
+    rows = drop_outliers(df, features, [label]) if without_outliers else df
+    if not pruned:
+        return rows, list(features)
+    gone = {p.feature for p in prune_features(rows, [f for f in features if f != target], target=target, label=label, **limits) if not p.kept}
+    return rows, [f for f in features if f not in gone]
+
+
+def train_job(
+    spark: SparkSession,
+    parquet_path: str,
+    out_dir: str,
+    *,
+    features: Sequence[str] = FEATURES,
+    label: str = LABEL,
+    without_outliers: bool = False,
+    pruned: bool = False,
+    **options,
+) -> TrainResult:
+    """Bucket means or filled readings -> model, scaler and hold-out predictions under ``out_dir``."""
+    data = read_features(spark, parquet_path, features, label)
+    data, features = selected_features(data, features, label, without_outliers=without_outliers, pruned=pruned)
+    return train(data, features, label, out_dir=out_dir, **options)
+
+
+def tree_job(
+    spark: SparkSession,
+    parquet_path: str,
+    out_dir: str,
+    *,
+    features: Sequence[str] = FEATURES,
+    label: str = LABEL,
+    split_key: Sequence[str] | str | None = None,
+    without_outliers: bool = False,
+    pruned: bool = False,
+    **options,
+) -> tuple[Tree, DataFrame]:
+    """The training job with a decision tree: rules and hold-out predictions under ``out_dir``."""
+    data, features = selected_features(read_parquet(spark, parquet_path), features, label, without_outliers=without_outliers, pruned=pruned)
+    return train_tree(data, features, label, split_key=split_key or [*features, label], out_dir=out_dir, **options)
 
 
 def stream_job(
@@ -113,4 +169,4 @@ def stream_job(
     return run_stream(spark, [out], checkpoint_root, **run_options)
 
 
-__all__ = ["preprocess_job", "run_batch", "run_stream", "stream_job", "train_job"]
+__all__ = ["preprocess_job", "run_batch", "run_stream", "selected_features", "stream_job", "train_job", "tree_job"]
