@@ -43,10 +43,10 @@ from kinesia.operators import (
 )
 from kinesia.operators.signature import GRID, flag_outliers, group_likeness
 from kinesia.plans.fill import fill_readings
-from kinesia.plans.jobs import preprocess_job
+from kinesia.plans.jobs import preprocess_job, run_stream, stream_job, train_job
 from kinesia.plans.preprocess import preprocess
 from kinesia.plans.stream import passthrough, score_stream, stream_preprocess
-from kinesia.plans.train import hold_out_results, train
+from kinesia.plans.train import hold_out_results, scoring_model, train
 from kinesia.schema import (
     AXES,
     FEATURES,
@@ -63,7 +63,9 @@ from kinesia.sinks.files import write_csv, write_outputs
 from kinesia.sinks.kafka import kafka_payload
 from kinesia.sources.csv import read_csv, read_csv_stream
 from kinesia.sources.imu_view import event_seconds, event_seconds_sql, imu_from_events, imu_view_sql
+from kinesia.sources.models import load_pipeline, load_scaler
 from kinesia.sources.parquet import read_features, read_parquet_stream
+from kinesia.streaming.late import BucketStream
 from kinesia.streaming.runner import await_all, latest_rows, parquet_batches, start_outputs
 from kinesia.streaming.windows import stream_bucketed_mean
 
@@ -355,6 +357,138 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out, ["timestamp", *FEATURES])
 
 
+LATENESS_S = 2 * 86_400.0
+LANDINGS = 6
+MOVED_EVERY, MOVED_BY = 7, 2  # every 7th event lands two files after its time
+
+
+def _land_out_of_order(spark: SparkSession, sf_dir: str, landing: str, slices) -> None:
+    """Land slices of the IMU view one after the other, in time order but for some readings that come much later."""
+    events = _table(spark, sf_dir, "events").withColumn("_at", event_seconds())
+    span = events.agg(F.min("_at").alias("a"), F.max("_at").alias("b")).first()
+    position = F.floor((F.col("_at") - F.lit(span["a"])) * LANDINGS / F.lit(max(span["b"] - span["a"], 1.0) * 1.0001))
+    moved = F.when(F.col("event_id") % MOVED_EVERY == 0, MOVED_BY).otherwise(0)
+    placed = events.withColumn("_slice", F.least(position + moved, F.lit(LANDINGS - 1)))
+    for k in slices:
+        imu_from_events(placed.where(F.col("_slice") == k)).write.mode("append").csv(landing, header=False)
+
+
+def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T7 in append mode with two days' lateness over files out of time order: late readings are merged in."""
+    landing, out = shared_dir(spark, "late-landing"), shared_dir(spark, "late-tables")
+    tables = BucketStream(spark, out, DAY_TICKS, LATENESS_S)
+    for half in (range(LANDINGS // 2), range(LANDINGS // 2, LANDINGS)):
+        _land_out_of_order(spark, sf_dir, landing, half)
+        tables.run(read_csv_stream(spark, landing, max_files_per_trigger=1))
+    return _rounded(tables.merged(), ["timestamp", *FEATURES])
+
+
+def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4: the same stream, stopped while its files are being read and resumed from its checkpoints."""
+    landing, out = shared_dir(spark, "restart-landing"), shared_dir(spark, "restart-tables")
+    tables = BucketStream(spark, out, DAY_TICKS, LATENESS_S)
+    _land_out_of_order(spark, sf_dir, landing, range(LANDINGS))
+    first = tables.route(read_csv_stream(spark, landing, max_files_per_trigger=1), available_now=False)
+    while first.isActive and (first.lastProgress is None or first.lastProgress["batchId"] < 1):
+        first.awaitTermination(0.2)
+    first.stop()  # in whatever step the next micro-batch is
+    tables.run(read_csv_stream(spark, landing, max_files_per_trigger=2))
+    return _rounded(tables.merged(), ["timestamp", *FEATURES])
+
+
+SPLIT_KEY, TRAIN_SEED = "user_number", 1
+_RUNS: dict[tuple, tuple] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make):
+    """What ``make`` gives, once per session and table folder: several queries look at one job's artifacts."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _RUNS:
+        _RUNS[key] = make()
+    return _RUNS[key]
+
+
+def _job_artifacts(spark: SparkSession, sf_dir: str) -> tuple:
+    """(buckets folder, artifacts folder, model in memory) of the batch jobs as deployed: raw CSV -> J1 -> J2."""
+
+    def make() -> tuple:
+        raw, buckets, keyed, out = (shared_dir(spark, f"job-{x}") for x in ("csv", "means", "keyed", "artifacts"))
+        write_csv(_imu(spark, sf_dir), raw, header=True)
+        preprocess_job(spark, raw, buckets, bucket_ticks=DAY_TICKS, ordered=False)
+        rounded = _rounded(spark.read.parquet(buckets), ["timestamp", *FEATURES])
+        write_outputs([rounded.withColumn(SPLIT_KEY, F.col("user_id").cast("bigint"))], [keyed])
+        return keyed, out, train_job(spark, keyed, out, split_key=SPLIT_KEY, seed=TRAIN_SEED).model
+
+    return _once(spark, sf_dir, "artifacts", make)
+
+
+def q_train_job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored hold-out rows, by users, read back."""
+    _, out, _ = _job_artifacts(spark, sf_dir)
+    return spark.read.parquet(f"{out}/test_results").select(SPLIT_KEY, LABEL, *FEATURES)
+
+
+def q_scaler_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: the stored scaler, fitted on the training users, applied to all buckets."""
+    keyed, out, _ = _job_artifacts(spark, sf_dir)
+    buckets = assembler(FEATURES).transform(spark.read.parquet(keyed))
+    arr = load_scaler(f"{out}/scaler").transform(buckets).withColumn("s", vector_to_array("features"))
+    return arr.select("timestamp", "user_id", LABEL, *[F.round(F.col("s")[i], DIGITS).alias(f) for i, f in enumerate(FEATURES)])
+
+
+def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every bucket scored by the stored pipeline and by the one in memory."""
+    keyed, out, model = _job_artifacts(spark, sf_dir)
+    buckets = spark.read.parquet(keyed).select("timestamp", "user_id", LABEL, *FEATURES)
+    both = buckets.withColumn("label_kept", F.col(LABEL))
+    for name, m in (("stored", load_pipeline(f"{out}/model")), ("held", model)):
+        scored = scoring_model(m).transform(both)
+        both = scored.select(*both.columns, F.struct("predictedLabel", "probability").alias(name))
+    known = F.col("stored.predictedLabel").isin(*model.stages[-1].getLabels())
+    return both.select("timestamp", "user_id", LABEL, (F.col("stored") == F.col("held")).alias("same"), known.alias("known_label"))
+
+
+def q_stream_score_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Buckets scored on a stream by the stored pipeline, against the batch scores of the one in memory."""
+    _, out, model = _job_artifacts(spark, sf_dir)
+    landing, target = _stage_stream_input(spark, sf_dir, "score-in"), shared_dir(spark, "score-out")
+    stream_job(
+        spark, landing, shared_dir(spark, "score-ckpt"), model_path=f"{out}/model", max_files_per_trigger=_files_per_trigger(spark),
+        bucket_ticks=DAY_TICKS, watermark=_lateness(spark, sf_dir), sink="files", paths=[target], output_mode="update", available_now=True,
+    )
+    streamed = latest_rows(spark, f"{target}/rows", ["user_id", "activity_id", "bucket"])
+    batch = scoring_model(model).transform(preprocess(_imu(spark, sf_dir), bucket_ticks=DAY_TICKS, ordered=False))
+    keys = ["timestamp", "user_id", LABEL]
+    scores = batch.select(*keys, F.col("predictedLabel").alias("batch_label"))
+    joined = streamed.select(*keys, "predictedLabel").join(scores, keys, "full")
+    return _rounded(joined.select(*keys, F.col("predictedLabel").eqNullSafe(F.col("batch_label")).alias("same")), ["timestamp"])
+
+
+def _two_outputs(spark: SparkSession, sf_dir: str) -> tuple:
+    """One landing folder, two outputs of one job: the rows as they came, and the bucket means."""
+
+    def make() -> tuple:
+        landing, ckpt = _stage_stream_input(spark, sf_dir, "two-in"), shared_dir(spark, "two-ckpt")
+        paths = [shared_dir(spark, "two-rows"), shared_dir(spark, "two-means")]
+        stream = read_csv_stream(spark, landing, max_files_per_trigger=_files_per_trigger(spark))
+        means = stream_preprocess(stream, bucket_ticks=DAY_TICKS, watermark=_lateness(spark, sf_dir), with_bucket=True)
+        run_stream(spark, [passthrough(stream), means], ckpt, sink="files", paths=paths, output_mode="update", available_now=True)
+        return tuple(f"{p}/rows" for p in paths)
+
+    return _once(spark, sf_dir, "two-outputs", make)
+
+
+def q_stream_two_outputs_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = _two_outputs(spark, sf_dir)
+    return _as_double(spark.read.parquet(rows).drop("_batch_id"), MEASUREMENT_COLUMNS)
+
+
+def q_stream_two_outputs_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, means = _two_outputs(spark, sf_dir)
+    merged = latest_rows(spark, means, ["user_id", "activity_id", "bucket"])
+    return _rounded(merged.select(*OUTPUT_COLUMNS), ["timestamp", *FEATURES])
+
+
 EVENTS_STREAM_OUTPUT = ("timestamp", "user_id", "event_type", "value", "k")
 
 
@@ -491,6 +625,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_preprocess": q_stream_preprocess,
         "stream_score": q_stream_score,
         "stream_bucket_avg": q_stream_bucket_avg,
+        "stream_late_rows": q_stream_late_rows,
+        "stream_restart": q_stream_restart,
+        "train_job_results": q_train_job_results,
+        "scaler_reload": q_scaler_reload,
+        "model_reload_score": q_model_reload_score,
+        "stream_score_reload": q_stream_score_reload,
+        "stream_two_outputs_rows": q_stream_two_outputs_rows,
+        "stream_two_outputs_means": q_stream_two_outputs_means,
         "kafka_payload": q_kafka_payload,
         "forward_fill": q_forward_fill,
         "fill_readings": q_fill_readings,
@@ -625,6 +767,17 @@ def _stream_typed_sql() -> str:
     return _imu_select(", ".join(cols))
 
 
+def _held_out_sql() -> str:
+    pos = f"((CAST(user_id AS DECIMAL(20,0)) + {TRAIN_SEED}) * {HASH_MULTIPLIER}) % {HASH_MODULUS}"
+    return f"""{_buckets_sql()},
+keyed AS (SELECT *, CAST(user_id AS BIGINT) AS {SPLIT_KEY}, {pos} / {HASH_MODULUS}.0 < 0.9 AS training FROM buckets)"""
+
+
+def _scaler_sql() -> str:
+    cols = ", ".join(f"round(({f} - (SELECT avg({f}) FROM keyed WHERE training)) / (SELECT stddev_samp({f}) FROM keyed WHERE training), {DIGITS}) AS {f}" for f in FEATURES)
+    return f"{_held_out_sql()}\nSELECT timestamp, user_id, activity_id, {cols} FROM keyed"
+
+
 def _fill_sql(max_age: float | None, complete: bool) -> str:
     order = "PARTITION BY user_id, activity_id ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
     cols = []
@@ -788,6 +941,14 @@ SELECT e.vec_id, r.label_text, r.label_index FROM embeddings e JOIN r ON CAST(e.
         "stream_identity": _stream_typed_sql(),
         "stream_preprocess": sql_preprocess(),
         "stream_bucket_avg": _sql_stream_events(),
+        "stream_late_rows": sql_preprocess(),
+        "stream_restart": sql_preprocess(),
+        "train_job_results": f"{_held_out_sql()}\nSELECT {SPLIT_KEY}, {LABEL}, {', '.join(FEATURES)} FROM keyed WHERE NOT training",
+        "scaler_reload": _scaler_sql(),
+        "model_reload_score": f"{_buckets_sql()}\nSELECT timestamp, user_id, activity_id, true AS same, true AS known_label FROM buckets",
+        "stream_score_reload": f"{_buckets_sql()}\nSELECT timestamp, user_id, activity_id, true AS same FROM buckets",
+        "stream_two_outputs_rows": _stream_typed_sql(),
+        "stream_two_outputs_means": sql_preprocess(),
         "kafka_payload": """SELECT CAST(user_id AS VARCHAR) AS key,
   to_json(struct_pack(event_id := event_id, ts := strftime(ts, '%Y-%m-%dT%H:%M:%S.%g'), user_id := user_id,
     event_type := event_type, value := value, props := props)) AS value

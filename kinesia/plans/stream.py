@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from kinesia.functions.time import bucket_width
 from kinesia.operators.filters import drop_empty_rows
 from kinesia.operators.projections import with_magnitudes
 from kinesia.plans.train import scoring_model
-from kinesia.schema import HR_FREQ_HZ, IMU_FREQ_HZ, KEY_COLUMNS, MISSING
+from kinesia.schema import BUCKET_TIME_TYPE, HR_FREQ_HZ, IMU_FREQ_HZ, KEY_COLUMNS, MISSING
 from kinesia.streaming.windows import stream_bucketed_mean
 
 
@@ -24,32 +25,32 @@ def stream_preprocess(
     bucket_ticks: int | None = None,
     imu_freq_hz: float = IMU_FREQ_HZ,
     hr_freq_hz: float = HR_FREQ_HZ,
-    watermark: str = "10 minutes",
+    watermark: str,
     sentinel: str = MISSING,
     with_bucket: bool = False,
+    time_type: T.DataType = BUCKET_TIME_TYPE,
 ) -> DataFrame:
     """The preprocessing job on a stream (T7): same filter and projection, then
     watermarked tumbling windows instead of a batch ``groupBy``."""
     width = bucket_ticks if bucket_ticks is not None else bucket_width(imu_freq_hz, hr_freq_hz)
     kept = drop_empty_rows(stream, KEY_COLUMNS, sentinel)
     reduced = with_magnitudes(kept, sentinel=sentinel)
-    return stream_bucketed_mean(reduced, width, watermark=watermark, with_bucket=with_bucket)
+    return stream_bucketed_mean(reduced, width, watermark=watermark, with_bucket=with_bucket, time_type=time_type)
 
 
 def score_stream(
     stream: DataFrame,
     model: PipelineModel,
     *,
-    bucket_ticks: int | None = None,
-    watermark: str = "10 minutes",
-    with_bucket: bool = False,
+    watermark: str,
+    **options,
 ) -> DataFrame:
     """Preprocess a raw stream and score each bucket with a saved pipeline.
 
     The pipeline is applied without its label indexer, so a bucket whose
     activity was never seen in training is still scored. Scoring is a
     row-wise map after the aggregate; the model's weights ship to executors
-    once per query.
+    once per query. ``options`` are those of ``stream_preprocess``.
     """
-    buckets = stream_preprocess(stream, bucket_ticks=bucket_ticks, watermark=watermark, with_bucket=with_bucket)
+    buckets = stream_preprocess(stream, watermark=watermark, **options)
     return scoring_model(model).transform(buckets)

@@ -5,12 +5,15 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Callable, Sequence
+from contextlib import suppress
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 BATCH_COLUMN = "_batch_id"
+STEP_S = 0.5
 POLL_S = 5.0  # Spark keeps the progress of the last 100 batches of a query
 
 log = logging.getLogger(__name__)
@@ -64,13 +67,39 @@ def start_outputs(
     return queries
 
 
+def _stop_all_on_failure(queries: Sequence[StreamingQuery]) -> None:
+    """Raise if a query has failed, after stopping the others."""
+    for q in queries:
+        if not q.isActive and q.exception() is not None:
+            for other in queries:
+                if other.isActive:
+                    other.stop()
+            raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
+
+
+def claim_output(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Tie an output folder to the checkpoint that writes it.
+
+    Batch numbers start again in a fresh checkpoint; into an old output it would
+    overwrite batches of another run.
+    """
+    owner = f"{path}/_checkpoint"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(owner)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        found = spark.read.text(owner).first()[0]
+        if found != checkpoint:
+            raise ValueError(f"{path} belongs to the checkpoint {found}, not {checkpoint}")
+    else:
+        spark.createDataFrame([(checkpoint,)], "value string").coalesce(1).write.text(owner)
+
+
 def await_any(
     spark: SparkSession, queries: Sequence[StreamingQuery], timeout_ms: int = 0, late: LateRows | None = None
 ) -> bool:
     """Block until one of ``queries`` ends (T5); ``timeout_ms`` 0 waits forever.
 
-    Returns True if one of them terminated (a failed one re-raises), False on
-    timeout. Terminations of other queries in the session are ignored: the
+    Returns True if one of them terminated (a failed one stops the others and re-raises),
+    False on timeout. Terminations of other queries in the session are ignored: the
     session-wide wait is reset first and resumed if something else woke it.
     ``late`` is polled while waiting, and warns of rows dropped by the watermark.
     """
@@ -79,42 +108,42 @@ def await_any(
         if late is not None:
             late.poll()
         spark.streams.resetTerminated()
-        for q in queries:
-            if not q.isActive:
-                if q.exception() is not None:
-                    raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
-                return True
+        _stop_all_on_failure(queries)
+        if any(not q.isActive for q in queries):
+            return True
         remaining = deadline - time.monotonic() if deadline is not None else None
         if remaining is not None and remaining <= 0:
             return any(not q.isActive for q in queries)
-        if late is not None:
-            spark.streams.awaitAnyTermination(POLL_S if remaining is None else min(POLL_S, remaining))
-        elif remaining is None:
-            spark.streams.awaitAnyTermination()
-        else:
-            spark.streams.awaitAnyTermination(remaining)
+        with suppress(StreamingQueryException):
+            if late is not None:
+                spark.streams.awaitAnyTermination(POLL_S if remaining is None else min(POLL_S, remaining))
+            elif remaining is None:
+                spark.streams.awaitAnyTermination()
+            else:
+                spark.streams.awaitAnyTermination(remaining)
 
 
 def await_all(queries: Sequence[StreamingQuery], timeout_s: float | None = None, late: LateRows | None = None) -> None:
     """Wait for every (``availableNow``) query to finish, then surface failures.
 
+    The outputs of a job stand and fall together: if one query fails the others are stopped,
+    and resume from their checkpoints in the next run.
     A query that has not ended after ``timeout_s`` seconds raises ``TimeoutError``.
     With ``late``, rows that the watermark dropped raise ``RuntimeError`` at the end.
     """
-    for q in queries:
-        deadline = time.monotonic() + timeout_s if timeout_s is not None else None
-        while late is not None or deadline is not None:
-            remaining = float("inf") if deadline is None else deadline - time.monotonic()
-            if q.awaitTermination(max(0.001, remaining if late is None else min(POLL_S, remaining))):
-                break
-            if late is not None:
-                late.poll()
-            if deadline is not None and time.monotonic() >= deadline:
-                raise TimeoutError(f"streaming query {q.name or q.id} has not ended after {timeout_s} s")
-        else:
-            q.awaitTermination()
-        if q.exception() is not None:
-            raise RuntimeError(f"streaming query {q.name or q.id} failed: {q.exception()}")
+    deadline = time.monotonic() + timeout_s if timeout_s is not None else None
+    waiting = list(queries)
+    while waiting:
+        for q in list(waiting):
+            with suppress(StreamingQueryException):  # raised below, when the others are stopped
+                q.awaitTermination(STEP_S)
+            if not q.isActive:
+                waiting.remove(q)
+        _stop_all_on_failure(queries)
+        if late is not None:
+            late.poll()
+        if waiting and deadline is not None and time.monotonic() >= deadline:
+            raise TimeoutError(f"streaming query {waiting[0].name or waiting[0].id} has not ended after {timeout_s} s")
     if late is not None and late.poll():
         raise RuntimeError(
             f"the watermark dropped {late.total} late rows: the output is not whole; "

@@ -29,7 +29,7 @@ def stream_bucketed_mean(
     df: DataFrame,
     width: int,
     *,
-    watermark: str = "10 minutes",
+    watermark: str,
     keys: Sequence[str] = ("user_id", "activity_id"),
     time_col: str = "timestamp",
     measures: Sequence[str] = FEATURES,
@@ -40,6 +40,9 @@ def stream_bucketed_mean(
 ) -> DataFrame:
     """Streaming twin of ``bucketed_mean``: same rows for every closed bucket.
 
+    ``watermark`` is how late a reading may come; later ones are dropped, so there is no
+    default (``streaming.late`` keeps them).
+
     ``with_bucket`` adds the bucket number (window start / width), the key that
     identifies a row across update-mode emissions.
     """

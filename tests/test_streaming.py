@@ -58,7 +58,8 @@ def test_stream_preprocess_equals_batch(spark, events):
 
 
 def test_append_mode_emits_closed_buckets_only(spark, events):
-    landing = _landing(spark, events)
+    landing = shared_dir(spark, "test-ordered")
+    write_csv(imu_from_events(events.repartitionByRange(4, "ts")), landing, header=False)
     out, ckpt = shared_dir(spark, "test-app-out"), shared_dir(spark, "test-app-ckpt")
     stream = read_csv_stream(spark, landing, max_files_per_trigger=1)
     frame = stream_preprocess(stream, bucket_ticks=DAY, watermark="1 hour")
@@ -69,9 +70,9 @@ def test_append_mode_emits_closed_buckets_only(spark, events):
     await_all(start_outputs([frame], writer, ckpt, available_now=True))
     emitted = spark.read.parquet(out)
     batch = preprocess(imu_from_events(events), bucket_ticks=DAY, ordered=False)
-    # every emitted (closed) bucket equals its batch twin; late rows may only remove buckets
-    assert emitted.count() <= batch.count()
-    assert emitted.join(batch, list(OUTPUT_COLUMNS), "left_anti").count() <= emitted.count()
+    # files in time order: no row is late, every emitted (closed) bucket equals its batch twin
+    assert 0 < emitted.count() <= batch.count()
+    assert emitted.exceptAll(batch).count() == 0
 
 
 def test_stream_scores_equal_batch_scores(spark, events):
