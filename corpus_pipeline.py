@@ -42,9 +42,9 @@ def mix_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     mix = mixing.mix_sources(docs).groupBy("doc_id", "size").agg(F.sum("taken").alias("taken"), F.count(F.lit(1)).alias("n"))
     times = F.round(F.col("taken") / (F.col("size") * F.col("n"))).cast("int")
     taken = mix.filter("size > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), times.alias("_times")).filter("_times > 0")
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (mixing.count_words(docs["text"]) == F.col("_size"))
-    rows = docs.join(taken, same).withColumn("_copy", F.explode(F.sequence(F.lit(1), "_times")))
-    return rows.select(*[docs[c] for c in docs.columns])
+    same = docs["doc_id"].eqNullSafe(taken["_id"]) & (mixing.count_words(docs["text"]) == taken["_size"])
+    rows = docs.join(taken, same).select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"), F.explode(F.sequence(F.lit(1), taken["_times"])))
+    return rows.select("_row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

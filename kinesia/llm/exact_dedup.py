@@ -62,6 +62,11 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def drop_exact_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with all its columns, without the rows whose text an earlier document has."""
-    kept = exact_dedup(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_kept_id"]), "left_semi")
+    """``docs`` with all its columns, without the rows whose text an earlier document has.
+
+    A row is known by its id and its text: of rows that repeat an id, each goes or
+    stays by its own text.
+    """
+    kept = exact_dedup(docs, doc_id, text).filter("kept").select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_sha256"))
+    own = F.sha2(normalised(docs[text].cast("string")), 256)
+    return docs.join(kept, docs[doc_id].eqNullSafe(kept["_kept_id"]) & (own == kept["_kept_sha256"]), "left_semi")

@@ -347,3 +347,20 @@ def test_pipeline_against_a_plain_version(spark, tmp_path, rows):
     mix = _by_id(mixing.mix_sources(spark.createDataFrame(kept, SCHEMA)))
     # to the nearest whole time, a half up
     assert times == Counter({i: int(r.taken / r["size"] + 0.5) for i, r in mix.items() if r["size"] and int(r.taken / r["size"] + 0.5)})
+
+
+def test_exact_copies_with_repeated_and_null_ids(spark):
+    rows = [(3, "b", 1), (5, "a", 2), (5, "b", 3), (None, "b", 4), (None, "zzz", 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _kept_id int")
+    got = exact_dedup.drop_exact_copies(df)
+    assert got.columns == df.columns and sorted(r["_kept_id"] for r in got.collect()) == [1, 2, 5]
+
+
+def test_pipeline_stages_with_clashing_names(spark, docs):
+    import corpus_pipeline
+
+    df = docs.selectExpr("*", "doc_id AS _id", "1 AS _copy", "'s' AS _size", "2 AS _times", "3 AS _row", "4 AS _gone")
+    for _, stage in corpus_pipeline.STAGES[1:4:2]:
+        out = stage(spark, df, None)
+        assert out.columns == df.columns and out.count() > 0
+        assert {(r["_copy"], r["_times"], r["_row"]) for r in out.collect()} == {(1, 2, 3)}
