@@ -1,11 +1,14 @@
 """Vectorised hashing of words and word runs over UTF-8 bytes (numpy, inside tasks).
 
 Words are maximal runs of bytes other than space and \\t \\n \\v \\f \\r. Hashes are
-64-bit and depend on the bytes alone, so every task and every run agrees.
+64-bit and depend on the bytes alone, so every task and every run agrees. Short words
+take a polynomial hash, all at once; longer ones, where such a hash modulo 2**64 loses
+bits to words built for it, a cryptographic one.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +16,7 @@ import pyarrow as pa
 import zstandard
 
 BLOCK_BYTES = 1 << 20
+SHORT_WORD = 32  # bytes
 _U = np.uint64
 _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
@@ -58,8 +62,10 @@ def word_hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     up, down = _power_table(len(buf) + 1)
     prefix = np.zeros(len(buf) + 1, _U)
     np.cumsum(BYTE_CODE[buf] * up[:-1], out=prefix[1:])
-    h = (prefix[ends] - prefix[starts]) * down[starts]
-    return starts, ends, mix(h + (ends - starts).astype(_U))
+    h = mix((prefix[ends] - prefix[starts]) * down[starts] + (ends - starts).astype(_U))
+    for i in np.flatnonzero(ends - starts > SHORT_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(buf[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return starts, ends, h
 
 
 def run_hashes(words: np.ndarray, k: int, seed: int = 1) -> np.ndarray:

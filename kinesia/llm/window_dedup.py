@@ -4,7 +4,7 @@
    two, kept as one bit for "seen" and one for "seen again". The sketches of all tasks
    are merged slice by slice. A cell never counts less than a window's occurrences.
 2. A second pass sends on only windows whose cells are all "seen again"; these are
-   grouped exactly by 96 bits of hash, and every window whose sequence starts in a
+   grouped by 96 bits of hash, and every window whose sequence starts in a
    smaller document is marked. A window that does occur again is never ruled out. Of a
    stretch of documents only the smallest with a window is sent, the others are marked
    on the spot, so a window that all documents have stays a few entries. Windows are
