@@ -366,10 +366,21 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, length: int = LENGTH, doc
     """One row per document: doc_id, n_bytes, starts, ends (removed spans, sorted, joined), kept (binary).
 
     Null text is empty. Texts shorter than ``length`` bytes lose nothing. Rows without
-    a doc_id keep their text and take no part. Rows that repeat a doc_id should repeat
-    its text; they count as further places of it. Other columns are ignored.
+    a doc_id keep their text and take no part. Rows that repeat a doc_id are documents
+    of their own, whether or not they repeat its text. Very long texts are taken whole.
+    An empty table gives an empty result. Other columns are ignored.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    if source.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return _without_spans(spark, source, length)
+    rows = stored(spark, source.withColumn("row", F.when(F.col("doc_id").isNotNull(), F.monotonically_increasing_id())), "suffix-rows")
+    out = _without_spans(spark, rows.select(F.col("row").alias("doc_id"), "text"), length).withColumnRenamed("doc_id", "of")
+    ids = rows.filter("row is not null").select("row", "doc_id")
+    return out.join(ids, F.col("of") == F.col("row"), "left").select("doc_id", "n_bytes", "starts", "ends", "kept")
+
+
+def _without_spans(spark: SparkSession, source: DataFrame, length: int) -> DataFrame:
+    """``suffix_dedup`` of (doc_id, text) with distinct ids."""
     spans = repeated_spans(spark, source.filter("doc_id is not null"), length)
     rows = source.mapInArrow(packed_texts, PACKED).join(spans.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
 
