@@ -62,23 +62,44 @@ def _valid(kind: str, value: Column) -> Column:
     return n.between(9, 15) if kind == "phone" else F.lit(True)
 
 
+BLOCK = 128  # matches
 NONE = "array<struct<start:int,rank:int,end:int,value:string>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _located(text: Column, pattern: Column, rank: int) -> Column:
-    """All matches of a pattern with their code-point places, from the lengths of what lies between them."""
-    found = F.regexp_extract_all(text, pattern, F.lit(0))
-    between = F.split(text, pattern, -1)
+    """All matches of a pattern with their code-point places, from the lengths of what lies between them.
+
+    Arrays grow by copying, so spans are laid out in blocks of BLOCK matches, each from
+    where the block before it ends; the time is in proportion to the matches.
+    """
+    moved = lambda at, x: at + x["gap"] + F.length(x["value"])
 
     def step(acc, x):
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
-
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(NONE).alias("out"))
-    pairs = F.zip_with(F.slice(between, 1, F.size(found)), found, lambda g, v: F.struct(g.alias("gap"), v.alias("value")))
-    return F.when(F.size(found) > 0, F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(NONE))
+        start = acc["at"] + x["gap"]
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), moved(acc["at"], x).alias("end"), x["value"].alias("value"))
+        return F.struct(moved(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    def laid(blocks):
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out"))
+        begins = F.aggregate(
+            blocks, zero, lambda acc, b: F.struct(F.aggregate(b, acc["at"], moved).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"]
+        )
+        spans = lambda b, at: F.aggregate(b, F.struct(at.alias("at"), F.array().cast(NONE).alias("out")), step, lambda acc: acc["out"])
+        return F.flatten(F.zip_with(blocks, begins, spans))
+
+    def located(found):
+        between = F.slice(F.split(text, pattern, -1), 1, F.size(found))
+        pairs = F.zip_with(between, found, lambda g, v: F.struct(F.length(g).alias("gap"), v.alias("value")))
+        count = F.floor((F.size(found) - 1) / BLOCK).cast("int")
+        blocks = lambda p: F.transform(F.sequence(F.lit(0), count), lambda b: F.slice(p, b * BLOCK + 1, BLOCK))
+        return F.when(F.size(found) > 0, _let(_let(pairs, blocks), laid)).otherwise(F.array().cast(NONE))
+
+    return _let(F.regexp_extract_all(text, pattern, F.lit(0)), located)
 
 
 def base_spans(text: Column, kind: str) -> Column:
