@@ -3,13 +3,16 @@
 A word is held as the list of its parts, cut at the boundaries, and beside it the rank
 of each adjacent pair. The smallest rank is found by a scan, the boundary inside that pair
 is deleted, and only the two neighbouring ranks are looked up again; words are
-short, so a scan beats a heap. Words repeat, so each task keeps a bounded table of
-the words it has met.
+short, so a scan beats a heap. A scan per merge is quadratic in the word, so words
+above a length (one of a million letters is possible) take their smallest rank from a
+heap instead, with the same result. Short words repeat, so each task keeps a table of
+those it has met, bounded in words and so in bytes.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -22,7 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 NO_PAIR = 1 << 62
-CACHED_WORDS = 1 << 18  # about 120 MB a task when full
+CACHED_WORDS = 1 << 16  # about 30 MB a task when full
+SHORT_WORD = 64  # letters of a word that is scanned and kept
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -59,6 +63,8 @@ class WordBpe:
         """The ids of one word as little-endian 32-bit integers."""
         parts = [self.letters[b] for b in word.encode("utf-8")]
         parts[-1] += self.suffix
+        if len(word) > SHORT_WORD:
+            return np.array([self.vocab[p] for p in self._merged_by_heap(parts)], "<u4").tobytes()
         rank = self.ranks.get
         ranks = [rank(pair, NO_PAIR) for pair in zip(parts, parts[1:])]
         while ranks:
@@ -74,6 +80,28 @@ class WordBpe:
                 ranks[at - 1] = rank((parts[at - 1], parts[at]), NO_PAIR)
         return np.array([self.vocab[p] for p in parts], "<u4").tobytes()
 
+    def _merged_by_heap(self, parts: list[str | None]) -> list[str]:
+        """The parts left of a long word; boundaries are links, so that deleting one moves nothing."""
+        rank, end = self.ranks.get, len(parts)
+        after, before = list(range(1, end + 1)), list(range(-1, end - 1))
+        heap = [(r, i) for i, pair in enumerate(zip(parts, parts[1:])) if (r := rank(pair)) is not None]
+        heapq.heapify(heap)
+        while heap:
+            low, at = heapq.heappop(heap)
+            gone = after[at]
+            # a rank stands for one pair: any other one is out of date
+            if parts[at] is None or gone == end or rank((parts[at], parts[gone])) != low:
+                continue
+            parts[at] += parts[gone]
+            parts[gone] = None
+            after[at] = after[gone]
+            if after[at] < end:
+                before[after[at]] = at
+            for left in (before[at], at):
+                if left >= 0 and after[left] < end and (r := rank((parts[left], parts[after[left]]))) is not None:
+                    heapq.heappush(heap, (r, left))
+        return [p for p in parts if p is not None]
+
     @staticmethod
     def normalise(text: str) -> str:
         """NFC, then lower case letter by letter (no rule for a final sigma)."""
@@ -90,7 +118,11 @@ class WordBpe:
             if piece in self.special:
                 out.append(self.special[piece].to_bytes(4, "little"))
             elif piece:
-                out += map(self.encoded, self.words(self.normalise(piece)))
+                words = self.words(self.normalise(piece))
+                if max(map(len, words), default=0) <= SHORT_WORD:
+                    out += map(self.encoded, words)
+                else:
+                    out += [self.encoded(w) if len(w) <= SHORT_WORD else self._encode_word(w) for w in words]
         return b"".join(out)
 
     def decode(self, ids: bytes) -> str:
@@ -131,6 +163,7 @@ def encode_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
 
     The digests are taken where the ids are made, so ids and decoded texts are held
     one document at a time. Null and empty texts have no tokens; repeated rows repeat.
+    Very long texts and words take time in proportion to their length (times its logarithm).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
