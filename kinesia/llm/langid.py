@@ -14,7 +14,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +24,7 @@ UNKNOWN = "und"
 SEED = 5
 BLOCK_CHARS = 1 << 19
 BLOCK_TEXTS = 64
+ROWS = 1 << 10  # of a table, in double precision at a time
 
 
 @lru_cache(1)
@@ -81,7 +81,7 @@ class Bundler:
         self.letters = 1
         self.row = np.full(1 << (3 * self.SMALL), -1, np.int32)
         self.known = 0
-        self.vectors = np.zeros((1 << 10, DIMENSIONS), np.float32)
+        self.vectors = np.zeros((self.most, DIMENSIONS), np.float32)  # memory is taken as rows are filled
 
     def full(self) -> bool:
         return self.known > self.most // 2
@@ -101,8 +101,6 @@ class Bundler:
             if self.known + len(fresh) > self.most:
                 return None
             where = np.flatnonzero(slot[1:-1] > 0)[row < 0][at]
-            while self.known + len(fresh) > len(self.vectors):
-                self.vectors = np.concatenate([self.vectors, np.zeros_like(self.vectors)])
             self.vectors[self.known : self.known + len(fresh)] = bound_vectors(slot[where], slot[where + 1], slot[where + 2])
             self.row[fresh] = np.arange(self.known, self.known + len(fresh))
             self.known += len(fresh)
@@ -157,7 +155,8 @@ def fit_prototypes(spark: SparkSession, training: DataFrame, text: str, lang: st
 
         def empty_table() -> None:
             for name, c in counted.items():
-                sums[name] = sums.get(name, 0) + c @ bundler.vectors[: len(c)].astype(np.float64)
+                for i in range(0, len(c), ROWS):
+                    sums[name] = sums.get(name, 0) + c[i : i + ROWS] @ bundler.vectors[i : i + len(c[i : i + ROWS])].astype(np.float64)
             counted.clear()
 
         for batch in batches:
@@ -188,7 +187,7 @@ def fit_prototypes(spark: SparkSession, training: DataFrame, text: str, lang: st
 
 
 def language_udf(prototypes: dict[str, list[float]]):
-    """Pandas UDF: text to (lang_pred, score); score is the cosine, cut to 0..1.
+    """Arrow UDF: text to (lang_pred, score); score is the cosine, cut to 0..1.
 
     Null text, text without a letter, and any text when there is no prototype are
     ``und`` with score 0. Equal cosines go to the smallest language name.
@@ -198,8 +197,8 @@ def language_udf(prototypes: dict[str, list[float]]):
     if names:
         table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-300)
 
-    @F.pandas_udf("lang_pred string, score double")
-    def language(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("lang_pred string, score double")
+    def language(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bundler = Bundler()
         for texts in batches:
             langs, scores = np.full(len(texts), UNKNOWN, object), np.zeros(len(texts))
@@ -207,8 +206,8 @@ def language_udf(prototypes: dict[str, list[float]]):
                 if bundler.full():
                     bundler.reset()
                 at, counts, vectors = [], [], []
-                for k, t in enumerate(texts.iloc[i : i + BLOCK_TEXTS], i):
-                    c, v = bundler.counts(t or "")
+                for k, t in enumerate(texts[i : i + BLOCK_TEXTS], i):
+                    c, v = bundler.counts(t.as_py() or "")
                     if v is not None:
                         vectors.append((k, v))
                     elif c is not None:
@@ -223,7 +222,7 @@ def language_udf(prototypes: dict[str, list[float]]):
                 best = cosine.argmax(1)
                 langs[at] = [names[b] for b in best]
                 scores[at] = np.clip(cosine[np.arange(len(at)), best], 0, 1)
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+            yield pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores)], ["lang_pred", "score"])
 
     return language
 
