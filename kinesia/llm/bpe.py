@@ -16,6 +16,7 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -135,6 +136,16 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+@contextmanager
+def task_encoder(path: str) -> Iterator[WordBpe]:
+    """The encoder for one task. Its word table goes with the task: workers live on and serve other stages."""
+    bpe = load(path)
+    try:
+        yield bpe
+    finally:
+        bpe.encoded.cache_clear()
+
+
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, ids (array), decoded (text).
 
@@ -142,17 +153,17 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for batch in batches:
-            ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x in ids], pa.list_(pa.int64())),
-                    pa.array([bpe.decode(x) for x in ids], pa.string()),
-                ],
-                ["doc_id", "ids", "decoded"],
-            )
+        with task_encoder(path) as bpe:
+            for batch in batches:
+                ids = [bpe.encode(t or "") for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0),
+                        pa.array([np.frombuffer(x, "<u4").astype(np.int64) for x in ids], pa.list_(pa.int64())),
+                        pa.array([bpe.decode(x) for x in ids], pa.string()),
+                    ],
+                    ["doc_id", "ids", "decoded"],
+                )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, ids array<long>, decoded string")
@@ -167,18 +178,18 @@ def encode_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
-        for batch in batches:
-            counts, ids_sha, text_sha = [], [], []
-            for t in batch.column(1):
-                ids = bpe.encode(t.as_py() or "")
-                counts.append(len(ids) // 4)
-                ids_sha.append(hashlib.sha256(ids).hexdigest())
-                text_sha.append(hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+        with task_encoder(path) as bpe:
+            for batch in batches:
+                counts, ids_sha, text_sha = [], [], []
+                for t in batch.column(1):
+                    ids = bpe.encode(t.as_py() or "")
+                    counts.append(len(ids) // 4)
+                    ids_sha.append(hashlib.sha256(ids).hexdigest())
+                    text_sha.append(hashlib.sha256(bpe.decode(ids).encode("utf-8")).hexdigest())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(run, SCHEMA)
