@@ -1,9 +1,11 @@
 """Substring dedup over windows of words, with a count-min prefilter.
 
-1. Each task sketches the windows of its texts: two rows of cells that saturate at
-   two, kept as one bit for "seen" and one for "seen again". The sketches of all tasks
-   are merged slice by slice. A cell never counts less than a window's occurrences.
-2. A second pass sends on only windows whose cells are all "seen again"; these are
+1. Texts are packed into blocks. Each block sketches its windows: ROWS rows of cells that
+   saturate at two, kept sparse, as the sorted cells met and a bit for "met again". The
+   cells are cut into parts; sketches of all blocks are merged part by part, and
+   each block is told which of its own cells count two or more. A cell never counts
+   less than a window's occurrences.
+2. A second pass sends on only windows whose cells all count two or more; these are
    grouped by 96 bits of hash, and every window whose sequence starts in a
    smaller document is marked. A window that does occur again is never ruled out. Of a
    stretch of documents only the smallest with a window is sent, the others are marked
@@ -12,9 +14,9 @@
    they travel, and come back marked, as stretches.
 3. Marked windows go back to their documents, whose covered words are removed.
 
-The sketch has cells in proportion to the text, up to a limit (both parameters), so what
-is broadcast is bounded. On a corpus too large for it more windows go to the exact pass;
-the result is the same.
+Cells are in proportion to the text at every size, so the share of windows that pass by
+chance stays the same. No task or broadcast holds the whole sketch: a block holds its own
+cells, an owner those of one part, and a cell that every block has is one entry a block.
 """
 
 from __future__ import annotations
@@ -24,20 +26,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinesia.llm.graph import stored
-from kinesia.llm.text import as_bytes, doc_blocks, joined, mix, run_hashes, word_bounds, word_hashes
+from kinesia.llm.text import doc_blocks, joined, mix, run_hashes, word_bounds, word_hashes
 
 WINDOW = 13
-CELLS_PER_BYTE = 0.5  # cells of a row per byte of text, rounded up to a power of two
-SKETCH_BITS = (16, 28)  # least and most: 2 ** 28 cells are 32 MB in a task and less when broadcast
+CELLS_PER_BYTE = 1  # cells of a row per byte of text, rounded up to a power of two
+LEAST_BITS = 16
+BLOCK_BYTES = 8 << 20  # text that is sketched together; a longer text is a block of its own
+SKETCH_PART_BYTES = 16 << 20  # text whose windows fill a part of the cells, about
 DEAL_WORDS = 4
 PART_BYTES = 8 << 20  # text whose windows make a partition of the exact pass
 ROWS = 2
-SLICE_BITS = 22
-SPARSE = 64  # a slice with fewer than one in so many bytes set is sent by place
 STRETCH = 1 << 18  # windows that are compared before they are sent
 _U = np.uint64
 
@@ -64,86 +67,118 @@ def _cells(h: np.ndarray, bits: int) -> list[np.ndarray]:
     return [(h >> _U(64 - bits)), ((h * _U(0x9E6C63D0676A9A99)) >> _U(64 - bits))][:ROWS]
 
 
-def _set(bitmap: np.ndarray, cells: np.ndarray) -> None:
-    """Set the bits of sorted, distinct cells."""
-    if len(cells):
-        byte = (cells >> _U(3)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], byte[1:] != byte[:-1]]))
-        bitmap[byte[first]] |= np.bitwise_or.reduceat(np.uint8(1) << (cells & _U(7)).astype(np.uint8), first)
+def _pack_numbers(sorted_numbers: np.ndarray) -> bytes:
+    """Sorted numbers below 2**32 as compressed differences, like bytes side by side."""
+    gaps = np.diff(sorted_numbers.astype(np.uint32), prepend=np.uint32(0)).astype("<u4")
+    return zstandard.ZstdCompressor(level=1).compress(gaps.view(np.uint8).reshape(-1, 4).T.tobytes())
 
 
-def _has(bitmap: np.ndarray, cells: np.ndarray) -> np.ndarray:
-    return (bitmap[(cells >> _U(3)).astype(np.int64)] >> (cells & _U(7)).astype(np.uint8)) & 1 == 1
+def _unpack_numbers(data) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
-class Sketch:
-    """Cells that count 0, 1 and 2 or more: one bitmap for "seen", one for "seen again"."""
+def text_blocks(rows: DataFrame) -> DataFrame:
+    """(block, ids, lengths, text): whole texts (doc_id, text), packed in blocks of about BLOCK_BYTES."""
 
-    def __init__(self, bits: int):
-        self.bits = bits
-        self.once = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(ROWS)]
-        self.again = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(ROWS)]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = TaskContext.get().partitionId() << 32
+        ids, texts, size = [], [], 0
 
-    def add(self, h: np.ndarray) -> None:
-        for row, cells in enumerate(_cells(h, self.bits)):
-            cells = np.sort(cells)
-            same = cells[1:] == cells[:-1]
-            distinct = cells[np.concatenate([[True], ~same])] if len(cells) else cells
-            _set(self.again[row], distinct[_has(self.once[row], distinct)])
-            _set(self.again[row], np.unique(cells[1:][same]))
-            _set(self.once[row], distinct)
+        def done() -> pa.RecordBatch:
+            pack = zstandard.ZstdCompressor(level=3).compress
+            columns = [np.array(ids, "<i8").tobytes(), np.array([len(t) for t in texts], "<i8").tobytes(), pack(b"".join(texts))]
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *(pa.array([c], pa.binary()) for c in columns)], ["block", "ids", "lengths", "text"])
 
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                t = t.as_py().encode("utf-8")
+                if texts and size + len(t) > BLOCK_BYTES:
+                    yield done()
+                    at += 1
+                    ids, texts, size = [], [], 0
+                ids.append(i)
+                texts.append(t)
+                size += len(t)
+        if texts:
+            yield done()
 
-def sketch_windows(docs: DataFrame, width: int, bits: int) -> DataFrame:
-    """(row, slice, again): the merged sketch of all texts, slice by slice, compressed."""
-    pack = lambda data: zstandard.ZstdCompressor(level=1).compress(data)
-    slice_bits = min(SLICE_BITS, bits)
-    step = 1 << (slice_bits - 3)
+    return rows.select("doc_id", "text").mapInArrow(run, "block long, ids binary, lengths binary, text binary")
 
-    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = None
-        for batch in batches:
-            for _, _, h, _, _ in _windows(as_bytes(batch.column(0)), width):
-                sketch = sketch or Sketch(bits)
-                sketch.add(h)
-        if sketch:
-            for row in range(ROWS):
-                for s in range(1 << (bits - slice_bits)):
-                    cut = slice(s * step, (s + 1) * step)
-                    once, again = sketch.once[row][cut], sketch.again[row][cut]
-                    at = np.flatnonzero(once)
-                    if len(at):
-                        sparse = len(at) * SPARSE < step
-                        place = at.astype(np.uint32).tobytes() if sparse else None
-                        data = [pack((x[at] if sparse else x).tobytes()) for x in (once, again)]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([row], pa.int32()), pa.array([s], pa.int32()), pa.array([place], pa.binary()), *(pa.array([d], pa.binary()) for d in data)],
-                            ["row", "slice", "place", "once", "again"],
-                        )
 
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # sorted by (row, slice): one slice at a time
-        unpack = zstandard.ZstdDecompressor().decompress
-        key, once, again = None, None, None
+def _texts(lengths, text) -> list[bytes]:
+    """The texts of a block."""
+    data = zstandard.ZstdDecompressor().decompress(text.as_buffer())
+    ends = np.cumsum(np.frombuffer(lengths.as_buffer(), "<i8")).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends)]
 
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([pack(again.tobytes())], pa.binary())], ["row", "slice", "again"])
 
+def sketch_cells(blocks: DataFrame, width: int, bits: int, part_bits: int) -> DataFrame:
+    """(block, row, part, cells): of the cells that each block has met, those that count two or more over all blocks.
+
+    A part is the leading ``part_bits`` of a cell, at least ``bits - 32`` of them.
+    """
+    low_bits = bits - part_bits
+    low = _U((1 << low_bits) - 1)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, s, place, o, a in zip(*(batch.column(i) for i in range(5))):
-                o, a = (np.frombuffer(unpack(x.as_buffer()), np.uint8) for x in (o, a))
-                if key != (row.as_py(), s.as_py()):
-                    if key:
-                        yield done()
-                    key, once, again = (row.as_py(), s.as_py()), np.zeros(step, np.uint8), np.zeros(step, np.uint8)
-                at = np.frombuffer(place.as_buffer(), np.uint32) if place.is_valid else slice(None)
-                again[at] |= a | (once[at] & o)
-                once[at] |= o
-        if key:
-            yield done()
+            for block, lengths, text in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                hashes = [h for _, _, h, _, _ in _windows(_texts(lengths, text), width)]
+                if not sum(map(len, hashes)):
+                    continue
+                hashes = np.concatenate(hashes)
+                for row in range(ROWS):
+                    cells = np.sort(_cells(hashes, bits)[row])
+                    first = np.flatnonzero(np.concatenate([[True], cells[1:] != cells[:-1]]))
+                    again = np.diff(np.append(first, len(cells))) > 1
+                    cells = cells[first]
+                    part = (cells >> _U(low_bits)).astype(np.int64)
+                    cells = (cells & low).astype(np.uint32)
+                    edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]]))
+                    for i in range(0, len(edges) - 1, 1024):
+                        cuts = list(zip(edges[i : i + 1024].tolist(), edges[i + 1 : i + 1025].tolist()))
+                        n = len(cuts)
+                        columns = [np.full(n, block), np.full(n, row, np.int32), part[edges[i : i + n]]]
+                        met = pa.array([_pack_numbers(cells[a:b]) for a, b in cuts], pa.binary())
+                        twice = pa.array([np.packbits(again[a:b]).tobytes() for a, b in cuts], pa.binary())
+                        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), met, twice], ["block", "row", "part", "met", "twice"])
 
-    parts = docs.select("text").mapInArrow(partial, "row int, slice int, place binary, once binary, again binary")
-    return parts.repartition("row", "slice").sortWithinPartitions("row", "slice").mapInArrow(merge, "row int, slice int, again binary")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # sorted by (row, part): the sketches of one part at a time
+        key, held = None, []
+        for batch in batches:
+            for block, row, part, met, twice in zip(*(batch.column(i).to_pylist() for i in range(5))):
+                if key != (row, part):
+                    if held:
+                        yield from _merged(key, held)
+                    key, held = (row, part), []
+                held.append((block, met, twice))
+        if held:
+            yield from _merged(key, held)
+
+    parts = blocks.select("block", "lengths", "text").mapInArrow(sketch, "block long, row int, part long, met binary, twice binary")
+    return parts.repartition("row", "part").sortWithinPartitions("row", "part").mapInArrow(merge, "block long, row int, part long, cells binary")
+
+
+def _merged(key: tuple[int, int], held: list[tuple[int, bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+    """What each block is told of its cells in one part."""
+    met = [_unpack_numbers(m) for _, m, _ in held]
+    every = np.sort(np.concatenate(met))
+    twice = [m[np.unpackbits(np.frombuffer(t, np.uint8), count=len(m)).astype(bool)] for m, (_, _, t) in zip(met, held)]
+    again = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *twice]))
+    out = [(block, _pack_numbers(m[found])) for m, (block, _, _) in zip(met, held) if (found := _in_sorted(again, m)).any()]
+    if out:
+        n = len(out)
+        columns = [pa.array([b for b, _ in out], pa.int64()), pa.array([key[0]] * n, pa.int32()), pa.array([key[1]] * n, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array([c for _, c in out], pa.binary())], ["block", "row", "part", "cells"])
+
+
+def _in_sorted(table: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Whether each value is in a sorted table."""
+    if not len(table):
+        return np.zeros(len(values), bool)
+    return table[np.minimum(np.searchsorted(table, values), len(table) - 1)] == values
 
 
 def window_dedup(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits: int | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -153,7 +188,8 @@ def window_dedup(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits
     Rows without a doc_id are left whole and do not make others lose words. Rows that
     repeat a doc_id are one document to each other: none removes another's words, and
     what is removed from them is told by place, so give documents distinct ids. Other
-    columns are ignored. ``bits`` sets the sketch's cells; None takes them by the text.
+    columns are ignored. ``bits`` sets the sketch's cells (2 ** bits a row); None takes them
+    by the text, however much it is.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
     marked = marked_windows(spark, source, width, bits)
@@ -191,36 +227,33 @@ def marked_windows(spark: SparkSession, source: DataFrame, width: int, bits: int
     """(doc_id, spans): stretches (first place, count) of windows that also start in a smaller document."""
     rows = source.filter("doc_id is not null and text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = bits or min(max(int(total * CELLS_PER_BYTE).bit_length(), SKETCH_BITS[0]), SKETCH_BITS[1])
+    bits = bits or max((total * CELLS_PER_BYTE).bit_length(), LEAST_BITS)
+    part_bits = min((total // SKETCH_PART_BYTES).bit_length(), bits)
+    part_bits = max(part_bits, bits - 32)  # a cell's place in its part takes 32 bits
     parts = max(1, -(-total // PART_BYTES))
-    merged = stored(spark, sketch_windows(rows, width, bits), "window-sketch")
-    # bounded by ROWS * 2 ** bits bits, whatever the input; it stays compressed until a task uses it
-    shared = spark.sparkContext.broadcast([(r["row"], r["slice"], bytes(r["again"])) for r in merged.toLocalIterator()])
-
-    def table() -> list[np.ndarray]:
-        out = [np.zeros(1 << (bits - 3), np.uint8) for _ in range(ROWS)]
-        size = 1 << (min(SLICE_BITS, bits) - 3)
-        for row, s, data in shared.value:
-            out[row][s * size : (s + 1) * size] = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-        return out
+    blocks = stored(spark, text_blocks(rows), "window-blocks")
+    cells = sketch_cells(blocks, width, bits, part_bits).withColumnRenamed("block", "of")
+    told = cells.groupBy("of").agg(F.collect_list(F.struct("row", "part", "cells")).alias("told"))  # at most a block's own cells
+    told = blocks.join(told, F.col("block") == F.col("of")).select("ids", "lengths", "text", "told")
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, bitmaps = [], 0, table()
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for doc, place, h, h2, deal in _windows(as_bytes(batch.column(1)), width):
-                again = np.ones(len(h), bool)
-                for bitmap, cells in zip(bitmaps, _cells(h, bits)):
-                    again &= _has(bitmap, cells)
-                at = np.flatnonzero(again)
-                part = (deal[at] % _U(parts)).astype(np.int64)
-                held.append((part, h[at], (h2[at] >> _U(32)).astype(np.uint32), ids[doc[at]], place[at].astype(np.int64)))
-                size += len(at)
-                if size > STRETCH:
+            for ids, lengths, text, cells in zip(*(batch.column(i) for i in range(4))):
+                tables = _tables(cells.as_py(), bits - part_bits)
+                ids, held, size = np.frombuffer(ids.as_buffer(), "<i8"), [], 0
+                for doc, place, h, h2, deal in _windows(_texts(lengths, text), width):
+                    again = np.ones(len(h), bool)
+                    for table, of in zip(tables, _cells(h, bits)):
+                        again &= _in_sorted(table, of)
+                    at = np.flatnonzero(again)
+                    part = (deal[at] % _U(parts)).astype(np.int64)
+                    held.append((part, h[at], (h2[at] >> _U(32)).astype(np.uint32), ids[doc[at]], place[at].astype(np.int64)))
+                    size += len(at)
+                    if size > STRETCH:
+                        yield from _sent(held)
+                        held, size = [], 0
+                if size:
                     yield from _sent(held)
-                    held, size = [], 0
-        if size:
-            yield from _sent(held)
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # sorted by part: one partition of the windows at a time
@@ -235,11 +268,19 @@ def marked_windows(spark: SparkSession, source: DataFrame, width: int, bits: int
         if blocks:
             yield _answered(blocks)
 
-    found = rows.mapInArrow(likely, "part long, marked boolean, block binary")
+    found = told.mapInArrow(likely, "part long, marked boolean, block binary")
     marked = found.repartition("part").sortWithinPartitions("part").mapInArrow(group, "doc_id long, place int, count int")
     return marked.groupBy("doc_id").agg(F.collect_list(F.struct("place", "count")).alias("spans"))
 
 
+def _tables(told: list[dict], low_bits: int) -> list[np.ndarray]:
+    """The cells of each row that count two or more, sorted, from what a block is told part by part."""
+    out = [[np.empty(0, _U)] for _ in range(ROWS)]
+    for t in sorted(told, key=lambda t: (t["row"], t["part"])):
+        out[t["row"]].append(_unpack_numbers(t["cells"]).astype(_U) + _U(t["part"] << low_bits))
+    return [np.concatenate(x) for x in out]
+
+
 def _first_of_equal(h: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Whether a smaller document has the same window, for each window."""
     order = np.lexsort((ids, h2, h))

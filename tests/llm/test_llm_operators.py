@@ -246,8 +246,11 @@ def test_bpe_equals_the_library(docs, rows):
         assert list(np.frombuffer(coder.encode(t), "<u4")) == ids and coder.decode(coder.encode(t)) == tokenizer.decode(ids, skip_special_tokens=False)
 
 
-@pytest.mark.parametrize("bits", [None, 16])
-def test_window_dedup(spark, docs, rows, bits):
+@pytest.mark.parametrize("bits, block, part", [(None, None, None), (16, None, None), (None, 2000, 3000), (34, 2000, 10**6), (4, 2000, 10**6)])
+def test_window_dedup(spark, docs, rows, bits, block, part, monkeypatch):
+    if block:  # many blocks, and many parts of the cells
+        monkeypatch.setattr(window_dedup, "BLOCK_BYTES", block)
+        monkeypatch.setattr(window_dedup, "SKETCH_PART_BYTES", part)
     words = {i: WORD.findall(t or "") for i, t, *_ in rows}
     first = {}
     for i in sorted(words):
@@ -260,6 +263,32 @@ def test_window_dedup(spark, docs, rows, bits):
         assert tuple(got[i])[1:] == (len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()), i
 
 
+def test_sketch_counts_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(window_dedup, "BLOCK_BYTES", 100)
+    rng = random.Random(8)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(60)) for _ in range(40)] + ["a b c a b c", "", "x"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    blocks = window_dedup.stored(spark, window_dedup.text_blocks(rows), "test-blocks")
+    packed = {r["block"]: r for r in blocks.collect()}
+    assert len(packed) > 10 and sum(len(r["ids"]) // 8 for r in packed.values()) == len(texts)
+    got = {}
+    for r in window_dedup.sketch_cells(blocks, 3, 40, 10).collect():
+        cells = window_dedup._unpack_numbers(r["cells"]).astype(np.uint64) + np.uint64(r["part"] << 30)
+        got.setdefault((r["block"], r["row"]), set()).update(cells.tolist())
+    count, own = Counter(), {}
+    for block, r in packed.items():
+        i = 0
+        for n in np.frombuffer(r["lengths"], "<i8").tolist():
+            data = window_dedup.zstandard.ZstdDecompressor().decompress(r["text"])[i : i + n]
+            i += n
+            for _, _, h, _, _ in window_dedup._windows([data], 3):
+                for row, cells in enumerate(window_dedup._cells(h, 40)):
+                    count.update((row, c) for c in cells.tolist())
+                    own.setdefault((block, row), set()).update(cells.tolist())
+    want = {(b, row): {c for c in cells if count[row, c] > 1} for (b, row), cells in own.items()}
+    assert got == {k: v for k, v in want.items() if v}
+
+
 def test_embedding_links(spark):
     rng = np.random.default_rng(5)
     base = rng.normal(size=(60, 16)).astype(np.float32)
