@@ -37,6 +37,7 @@ WINDOW = 13
 CELLS_PER_BYTE = 1  # cells of a row per byte of text, rounded up to a power of two
 LEAST_BITS = 16
 BLOCK_BYTES = 8 << 20  # text that is sketched together; a longer text is a block of its own
+WINDOW_LOG = 23  # bytes that a block's compression looks back, as a power of two
 SKETCH_PART_BYTES = 16 << 20  # text whose windows fill a part of the cells, about
 DEAL_WORDS = 4
 PART_BYTES = 8 << 20  # text whose windows make a partition of the exact pass
@@ -86,7 +87,9 @@ def text_blocks(rows: DataFrame) -> DataFrame:
         ids, texts, size = [], [], 0
 
         def done() -> pa.RecordBatch:
-            pack = zstandard.ZstdCompressor(level=3).compress
+            # a window as wide as the block: its copies are near
+            how = zstandard.ZstdCompressionParameters.from_level(5, window_log=WINDOW_LOG)
+            pack = zstandard.ZstdCompressor(compression_params=how).compress
             columns = [np.array(ids, "<i8").tobytes(), np.array([len(t) for t in texts], "<i8").tobytes(), pack(b"".join(texts))]
             return pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), *(pa.array([c], pa.binary()) for c in columns)], ["block", "ids", "lengths", "text"])
 
@@ -192,22 +195,31 @@ def window_dedup(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits
     by the text, however much it is.
     """
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    marked = marked_windows(spark, source, width, bits)
-    joined_rows = source.join(marked.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
+    blocks, marked = marked_windows(spark, source, width, bits)
+    marked = marked.groupBy("block").agg(F.collect_list("marks").alias("marks")).withColumnRenamed("block", "of")  # at most a block's own windows
+    joined_rows = blocks.join(marked, F.col("block") == F.col("of"), "left")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n_words, n_removed, kept = [], [], []
-            for raw, spans in zip(batch.column(1), batch.column(2)):
-                data = (raw.as_py() or "").encode("utf-8")
-                marks = [spans.values.field(k).to_numpy() for k in range(2)] if spans.is_valid else None
-                n, gone, rest = _removed(data, marks, width)
-                n_words.append(n)
-                n_removed.append(gone)
-                kept.append(rest.decode("utf-8"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
+            for ids, lengths, text, marks in zip(*(batch.column(i) for i in range(4))):
+                ids = np.frombuffer(ids.as_buffer(), "<i8")
+                of, place, count = _unpack_marks(marks.as_py() or [])
+                begin, end = np.searchsorted(of, ids, "left").tolist(), np.searchsorted(of, ids, "right").tolist()
+                out = [_removed(t, (place[a:b], count[a:b]) if b > a else None, width) for t, a, b in zip(_texts(lengths, text), begin, end)]
+                yield _kept(pa.array(ids), out)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield _kept(batch.column(0), [_removed((t.as_py() or "").encode("utf-8"), None, width) for t in batch.column(1)])
+
+    columns = "doc_id long, n_words long, n_removed long, kept string"
+    others = source.filter("doc_id is null or text is null").mapInArrow(whole, columns)
+    return joined_rows.select("ids", "lengths", "text", "marks").mapInArrow(remove, columns).unionByName(others)
 
-    return joined_rows.select("doc_id", "text", "spans").mapInArrow(remove, "doc_id long, n_words long, n_removed long, kept string")
+
+def _kept(ids: pa.Array, out: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    n_words, n_removed, kept = ([x[k] for x in out] for k in range(3))
+    return pa.RecordBatch.from_arrays([ids, pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([k.decode("utf-8") for k in kept], pa.string())], ["doc_id", "n_words", "n_removed", "kept"])
 
 
 def _removed(data: bytes, marks: list[np.ndarray] | None, width: int) -> tuple[int, int, bytes]:
@@ -215,7 +227,7 @@ def _removed(data: bytes, marks: list[np.ndarray] | None, width: int) -> tuple[i
     if marks is None:
         return len(starts), 0, b" ".join(data.split())
     place, count = marks
-    ok = place + count + width - 1 <= len(starts)
+    ok = place + count + width - 1 <= len(starts)  # rows that share a doc_id may be shorter
     cover = np.zeros(len(starts) + 1, np.int64)
     np.add.at(cover, place[ok], 1)
     np.add.at(cover, (place + count + width - 1)[ok], -1)
@@ -223,8 +235,8 @@ def _removed(data: bytes, marks: list[np.ndarray] | None, width: int) -> tuple[i
     return len(starts), len(starts) - len(keep), b" ".join([data[a:b] for a, b in zip(starts[keep].tolist(), ends[keep].tolist())])
 
 
-def marked_windows(spark: SparkSession, source: DataFrame, width: int, bits: int | None) -> DataFrame:
-    """(doc_id, spans): stretches (first place, count) of windows that also start in a smaller document."""
+def marked_windows(spark: SparkSession, source: DataFrame, width: int, bits: int | None) -> tuple[DataFrame, DataFrame]:
+    """The text blocks, and (block, marks): packed stretches of windows that also start in a smaller document."""
     rows = source.filter("doc_id is not null and text is not null")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = bits or max((total * CELLS_PER_BYTE).bit_length(), LEAST_BITS)
@@ -234,11 +246,12 @@ def marked_windows(spark: SparkSession, source: DataFrame, width: int, bits: int
     blocks = stored(spark, text_blocks(rows), "window-blocks")
     cells = sketch_cells(blocks, width, bits, part_bits).withColumnRenamed("block", "of")
     told = cells.groupBy("of").agg(F.collect_list(F.struct("row", "part", "cells")).alias("told"))  # at most a block's own cells
-    told = blocks.join(told, F.col("block") == F.col("of")).select("ids", "lengths", "text", "told")
+    told = blocks.join(told, F.col("block") == F.col("of")).select("block", "ids", "lengths", "text", "told")
 
     def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, lengths, text, cells in zip(*(batch.column(i) for i in range(4))):
+            for block, ids, lengths, text, cells in zip(*(batch.column(i) for i in range(5))):
+                block = block.as_py()
                 tables = _tables(cells.as_py(), bits - part_bits)
                 ids, held, size = np.frombuffer(ids.as_buffer(), "<i8"), [], 0
                 for doc, place, h, h2, deal in _windows(_texts(lengths, text), width):
@@ -250,27 +263,26 @@ def marked_windows(spark: SparkSession, source: DataFrame, width: int, bits: int
                     held.append((part, h[at], (h2[at] >> _U(32)).astype(np.uint32), ids[doc[at]], place[at].astype(np.int64)))
                     size += len(at)
                     if size > STRETCH:
-                        yield from _sent(held)
+                        yield from _sent(block, held)
                         held, size = [], 0
                 if size:
-                    yield from _sent(held)
+                    yield from _sent(block, held)
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # sorted by part: one partition of the windows at a time
-        part, blocks = None, []
+        part, held = None, []
         for batch in batches:
-            for p, m, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            for p, marked, block, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
                 if part is not None and p != part:
-                    yield _answered(blocks)
-                    blocks = []
+                    yield _answered(held)
+                    held = []
                 part = p
-                blocks.append((m, block.as_py()))
-        if blocks:
-            yield _answered(blocks)
+                held.append((marked, block, data.as_py()))
+        if held:
+            yield _answered(held)
 
-    found = told.mapInArrow(likely, "part long, marked boolean, block binary")
-    marked = found.repartition("part").sortWithinPartitions("part").mapInArrow(group, "doc_id long, place int, count int")
-    return marked.groupBy("doc_id").agg(F.collect_list(F.struct("place", "count")).alias("spans"))
+    found = told.mapInArrow(likely, "part long, marked boolean, block long, windows binary")
+    return blocks, found.repartition("part").sortWithinPartitions("part").mapInArrow(group, "block long, marks binary")
 
 
 def _tables(told: list[dict], low_bits: int) -> list[np.ndarray]:
@@ -293,49 +305,72 @@ def _first_of_equal(h: np.ndarray, h2: np.ndarray, ids: np.ndarray) -> np.ndarra
     return out
 
 
-def _sent(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-    """Blocks by part: the windows of the smallest document of each sequence with their hashes, the others as marked places."""
+def _sent(block: int, held: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """Packets of one block by part: the windows of the smallest document of each sequence with their hashes, the others as marked places."""
     part, h, h2, ids, place = (np.concatenate(x) for x in zip(*held))
     marked = _first_of_equal(h, h2, ids)
     order = np.lexsort((place, ids, marked, part))
     part, h, h2, ids, place, marked = (x[order] for x in (part, h, h2, ids, place, marked))
     edge = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (marked[1:] != marked[:-1]), [True]]))
     pack = zstandard.ZstdCompressor(level=1).compress
-    blocks = []
+    packets = []
     for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
         s = slice(a, b)
         columns = [np.diff(ids[s], prepend=0).astype("<i8"), np.diff(place[s], prepend=0).astype("<i4")]
         if not marked[a]:
             columns += [h[s], h2[s]]
-        blocks.append(pack((b - a).to_bytes(8, "little") + b"".join(c.tobytes() for c in columns)))
+        packets.append(pack((b - a).to_bytes(8, "little") + b"".join(c.tobytes() for c in columns)))
     first = edge[:-1]
-    yield pa.RecordBatch.from_arrays([pa.array(part[first]), pa.array(marked[first]), pa.array(blocks, pa.binary())], ["part", "marked", "block"])
+    yield pa.RecordBatch.from_arrays([pa.array(part[first]), pa.array(marked[first]), pa.array(np.full(len(first), block)), pa.array(packets, pa.binary())], ["part", "marked", "block", "windows"])
 
 
-def _answered(blocks: list[tuple[bool, bytes]]) -> pa.RecordBatch:
-    """The marked windows of one partition, neighbours in a document as one stretch."""
+def _answered(held: list[tuple[bool, int, bytes]]) -> pa.RecordBatch:
+    """The marked windows of one partition by block, neighbours in a document as one stretch."""
     done, todo = [], []
-    for marked, block in blocks:
-        data = zstandard.ZstdDecompressor().decompress(block)
+    for marked, block, data in held:
+        data = zstandard.ZstdDecompressor().decompress(data)
         n = int.from_bytes(data[:8], "little")
         ids = np.cumsum(np.frombuffer(data, "<i8", n, 8))
         place = np.cumsum(np.frombuffer(data, "<i4", n, 8 + 8 * n).astype(np.int64))
+        blocks = np.full(n, block)
         if marked:
-            done.append((ids, place))
+            done.append((blocks, ids, place))
         else:
-            todo.append((ids, place, np.frombuffer(data, _U, n, 8 + 12 * n), np.frombuffer(data, np.uint32, n, 8 + 20 * n)))
+            todo.append((blocks, ids, place, np.frombuffer(data, _U, n, 8 + 12 * n), np.frombuffer(data, np.uint32, n, 8 + 20 * n)))
     if todo:
-        ids, place, h, h2 = (np.concatenate(x) for x in zip(*todo))
+        blocks, ids, place, h, h2 = (np.concatenate(x) for x in zip(*todo))
         later = _first_of_equal(h, h2, ids)
-        done.append((ids[later], place[later]))
-    ids, place = (np.concatenate(x) for x in zip(*done))
-    order = np.lexsort((place, ids))
-    ids, place = ids[order], place[order]
+        done.append((blocks[later], ids[later], place[later]))
+    blocks, ids, place = (np.concatenate(x) for x in zip(*done))
+    order = np.lexsort((place, ids, blocks))
+    blocks, ids, place = blocks[order], ids[order], place[order]
     new = np.ones(len(ids), bool)
-    new[1:] = (ids[1:] != ids[:-1]) | (place[1:] > place[:-1] + 1)
+    new[1:] = (blocks[1:] != blocks[:-1]) | (ids[1:] != ids[:-1]) | (place[1:] > place[:-1] + 1)
     start = np.flatnonzero(new)
     last = np.append(start[1:], len(ids)) - 1 if len(ids) else start
-    return pa.RecordBatch.from_arrays([pa.array(ids[start]), pa.array(place[start].astype(np.int32)), pa.array((place[last] - place[start] + 1).astype(np.int32))], ["doc_id", "place", "count"])
+    blocks, ids, place, count = blocks[start], ids[start], place[start], place[last] - place[start] + 1
+    edge = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]])) if len(ids) else np.zeros(1, int)
+    marks = [_pack_marks(ids[a:b], place[a:b], count[a:b]) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())]
+    return pa.RecordBatch.from_arrays([pa.array(blocks[edge[:-1]], pa.int64()), pa.array(marks, pa.binary())], ["block", "marks"])
+
+
+def _pack_marks(ids: np.ndarray, place: np.ndarray, count: np.ndarray) -> bytes:
+    """Stretches sorted by document and place."""
+    columns = [np.diff(ids, prepend=0).astype("<i8"), np.diff(place, prepend=0).astype("<i4"), count.astype("<i4")]
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.tobytes() for c in columns))
+
+
+def _unpack_marks(packed: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, first place, count) of all stretches, by document."""
+    out = [(np.empty(0, np.int64),) * 3]
+    for data in packed:
+        data = zstandard.ZstdDecompressor().decompress(data)
+        n = len(data) // 16
+        ids, place = np.cumsum(np.frombuffer(data, "<i8", n)), np.cumsum(np.frombuffer(data, "<i4", n, 8 * n).astype(np.int64))
+        out.append((ids, place, np.frombuffer(data, "<i4", n, 12 * n).astype(np.int64)))
+    ids, place, count = (np.concatenate(x) for x in zip(*out))
+    order = np.argsort(ids, kind="stable")
+    return ids[order], place[order], count[order]
 
 
 def window_digests(spark: SparkSession, docs: DataFrame, width: int = WINDOW, bits: int | None = None) -> DataFrame:
