@@ -123,3 +123,10 @@ def test_texts_longer_than_a_block(spark):
     assert kept[2] == (299_000, 299_000, nothing) and kept[3] == (100, 100, nothing)
     parts = [langid.Bundler().counts(t)[0] for t in (long, long[: 1 << 20])]
     assert parts[0].sum() > parts[1].sum() > 0
+
+
+def test_word_table_goes_with_the_task():
+    with bpe.task_encoder(tokenizer_path()) as coder:
+        coder.encode("some words to keep")
+        assert coder.encoded.cache_info().currsize
+    assert not coder.encoded.cache_info().currsize
