@@ -20,6 +20,7 @@ from collections.abc import Callable
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from kinesia.functions import bucket_index, bucket_width, composite_key, joined_values, magnitude, time_tick
 from kinesia.functions.missing import sentinel_to_null, to_int
@@ -359,40 +360,61 @@ def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LATENESS_S = 2 * 86_400.0
 LANDINGS = 6
-MOVED_EVERY, MOVED_BY = 7, 2  # every 7th event lands two files after its time
+MOVED_EVERY, MOVED_BY = 7, 2  # every 7th event lands two slices after its time
+ROWS_PER_FILE = 10_000  # of a slice: from there on it lands as several files, at most one a core
 
 
-def _land_out_of_order(spark: SparkSession, sf_dir: str, landing: str, slices) -> None:
-    """Land slices of the IMU view one after the other, in time order but for some readings that come much later."""
+def _staged_slices(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """(folder of the events by the slice they land in, files of a slice).
+
+    In time order but for some readings that come much later. Staged once, spread over the cores:
+    each landing reads its own slice, not the whole table again.
+    """
     events = _table(spark, sf_dir, "events").withColumn("_at", event_seconds())
-    span = events.agg(F.min("_at").alias("a"), F.max("_at").alias("b")).first()
+    span = events.agg(F.min("_at").alias("a"), F.max("_at").alias("b"), F.count(F.lit(1)).alias("n")).first()
     position = F.floor((F.col("_at") - F.lit(span["a"])) * LANDINGS / F.lit(max(span["b"] - span["a"], 1.0) * 1.0001))
     moved = F.when(F.col("event_id") % MOVED_EVERY == 0, MOVED_BY).otherwise(0)
     placed = events.withColumn("_slice", F.least(position + moved, F.lit(LANDINGS - 1)))
+    path = shared_dir(spark, "slices")
+    _spread(placed).write.partitionBy("_slice").parquet(path)
+    return path, min(spark.sparkContext.defaultParallelism, 1 + span["n"] // (LANDINGS * ROWS_PER_FILE))
+
+
+def _land_out_of_order(spark: SparkSession, staged: str, files: int, landing: str, slices) -> None:
+    """Land slices of the IMU view one after the other, each as ``files`` files of about the same size."""
+    placed = spark.read.parquet(staged)
     for k in slices:
-        imu_from_events(placed.where(F.col("_slice") == k)).write.mode("append").csv(landing, header=False)
+        imu_from_events(placed.where(F.col("_slice") == k).repartition(files)).write.mode("append").csv(landing, header=False)
 
 
 def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 in append mode with two days' lateness over files out of time order: late readings are merged in."""
     landing, out = shared_dir(spark, "late-landing"), shared_dir(spark, "late-tables")
     tables = BucketStream(spark, out, DAY_TICKS, LATENESS_S)
+    staged, files = _staged_slices(spark, sf_dir)
     for half in (range(LANDINGS // 2), range(LANDINGS // 2, LANDINGS)):
-        _land_out_of_order(spark, sf_dir, landing, half)
-        tables.run(read_csv_stream(spark, landing, max_files_per_trigger=1))
+        _land_out_of_order(spark, staged, files, landing, half)
+        tables.run(read_csv_stream(spark, landing, max_files_per_trigger=files))
     return _rounded(tables.merged(), ["timestamp", *FEATURES])
 
 
+def _past_first_batch(query: StreamingQuery) -> bool:
+    """A second micro-batch has ended, or there is none."""
+    progress = query.lastProgress
+    return progress is not None and (progress["batchId"] >= 1 or not query.status["isDataAvailable"])
+
+
 def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: the same stream, stopped while its files are being read and resumed from its checkpoints."""
     landing, out = shared_dir(spark, "restart-landing"), shared_dir(spark, "restart-tables")
     tables = BucketStream(spark, out, DAY_TICKS, LATENESS_S)
-    _land_out_of_order(spark, sf_dir, landing, range(LANDINGS))
-    first = tables.route(read_csv_stream(spark, landing, max_files_per_trigger=1), available_now=False)
-    while first.isActive and (first.lastProgress is None or first.lastProgress["batchId"] < 1):
+    staged, files = _staged_slices(spark, sf_dir)
+    _land_out_of_order(spark, staged, files, landing, range(LANDINGS))
+    first = tables.route(read_csv_stream(spark, landing, max_files_per_trigger=files), available_now=False)
+    while first.isActive and not _past_first_batch(first):
         first.awaitTermination(0.2)
     first.stop()  # in whatever step the next micro-batch is
-    tables.run(read_csv_stream(spark, landing, max_files_per_trigger=2))
+    tables.run(read_csv_stream(spark, landing, max_files_per_trigger=2 * files))
     return _rounded(tables.merged(), ["timestamp", *FEATURES])
 
 
