@@ -16,6 +16,7 @@ exercise a source or sink stage their input under the shared folder named by
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +60,7 @@ from kinesia.schema import (
     MISSING,
     OUTPUT_COLUMNS,
 )
-from kinesia.session import shared_dir
+from kinesia.session import job_settings, shared_dir
 from kinesia.sinks.files import write_csv, write_outputs
 from kinesia.sinks.kafka import kafka_payload
 from kinesia.sources.csv import read_csv, read_csv_stream
@@ -127,6 +128,17 @@ def _stage_stream_input(spark: SparkSession, sf_dir: str, purpose: str) -> str:
     return path
 
 
+def _job(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query with the library's settings for what it runs before it returns."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with job_settings(spark):
+            return query(spark, sf_dir)
+
+    return run
+
+
 # ---------------------------------------------------------------- queries
 
 
@@ -337,6 +349,7 @@ def _stream_buckets(spark: SparkSession, sf_dir: str, frame_of) -> DataFrame:
     return latest_rows(spark, out, ["user_id", "activity_id", "bucket"]).drop("bucket")
 
 
+@_job
 def q_stream_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     lateness = _lateness(spark, sf_dir)
 
@@ -347,6 +360,7 @@ def q_stream_preprocess(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(out.select(*OUTPUT_COLUMNS), ["timestamp", *FEATURES])
 
 
+@_job
 def q_stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     model, lateness = _train_on_events(spark, sf_dir).model, _lateness(spark, sf_dir)
 
@@ -387,6 +401,7 @@ def _land_out_of_order(spark: SparkSession, staged: str, files: int, landing: st
         imu_from_events(placed.where(F.col("_slice") == k).repartition(files)).write.mode("append").csv(landing, header=False)
 
 
+@_job
 def q_stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T7 in append mode with two days' lateness over files out of time order: late readings are merged in."""
     landing, out = shared_dir(spark, "late-landing"), shared_dir(spark, "late-tables")
@@ -404,6 +419,7 @@ def _past_first_batch(query: StreamingQuery) -> bool:
     return progress is not None and (progress["batchId"] >= 1 or not query.status["isDataAvailable"])
 
 
+@_job
 def q_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: the same stream, stopped while its files are being read and resumed from its checkpoints."""
     landing, out = shared_dir(spark, "restart-landing"), shared_dir(spark, "restart-tables")
@@ -444,12 +460,14 @@ def _job_artifacts(spark: SparkSession, sf_dir: str) -> tuple:
     return _once(spark, sf_dir, "artifacts", make)
 
 
+@_job
 def q_train_job_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored hold-out rows, by users, read back."""
     _, out, _ = _job_artifacts(spark, sf_dir)
     return spark.read.parquet(f"{out}/test_results").select(SPLIT_KEY, LABEL, *FEATURES)
 
 
+@_job
 def q_scaler_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K8: the stored scaler, fitted on the training users, applied to all buckets."""
     keyed, out, _ = _job_artifacts(spark, sf_dir)
@@ -458,6 +476,7 @@ def q_scaler_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return arr.select("timestamp", "user_id", LABEL, *[F.round(F.col("s")[i], DIGITS).alias(f) for i, f in enumerate(FEATURES)])
 
 
+@_job
 def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every bucket scored by the stored pipeline and by the one in memory."""
     keyed, out, model = _job_artifacts(spark, sf_dir)
@@ -470,6 +489,7 @@ def q_model_reload_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("timestamp", "user_id", LABEL, (F.col("stored") == F.col("held")).alias("same"), known.alias("known_label"))
 
 
+@_job
 def q_stream_score_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Buckets scored on a stream by the stored pipeline, against the batch scores of the one in memory."""
     _, out, model = _job_artifacts(spark, sf_dir)
@@ -479,7 +499,9 @@ def q_stream_score_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
         bucket_ticks=DAY_TICKS, watermark=_lateness(spark, sf_dir), sink="files", paths=[target], output_mode="update", available_now=True,
     )
     streamed = latest_rows(spark, f"{target}/rows", ["user_id", "activity_id", "bucket"])
-    batch = scoring_model(model).transform(preprocess(_imu(spark, sf_dir), bucket_ticks=DAY_TICKS, ordered=False))
+    means = shared_dir(spark, "score-means")
+    write_outputs([preprocess(_imu(spark, sf_dir), bucket_ticks=DAY_TICKS, ordered=False)], [means])
+    batch = scoring_model(model).transform(spark.read.parquet(means))
     keys = ["timestamp", "user_id", LABEL]
     scores = batch.select(*keys, F.col("predictedLabel").alias("batch_label"))
     joined = streamed.select(*keys, "predictedLabel").join(scores, keys, "full")
@@ -500,11 +522,13 @@ def _two_outputs(spark: SparkSession, sf_dir: str) -> tuple:
     return _once(spark, sf_dir, "two-outputs", make)
 
 
+@_job
 def q_stream_two_outputs_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, _ = _two_outputs(spark, sf_dir)
     return _as_double(spark.read.parquet(rows).drop("_batch_id"), MEASUREMENT_COLUMNS)
 
 
+@_job
 def q_stream_two_outputs_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, means = _two_outputs(spark, sf_dir)
     merged = latest_rows(spark, means, ["user_id", "activity_id", "bucket"])

@@ -1,10 +1,10 @@
-"""What the stream queries land."""
+"""What the stream queries land, and the settings their jobs run with."""
 
 import __spark_entry__ as entry
 import pytest
 from pyspark.sql import functions as F
 
-from kinesia.session import shared_dir
+from kinesia.session import DEFAULT_CONF, JOB_KEYS, job_settings, shared_dir
 from kinesia.streaming.late import BucketStream
 
 
@@ -50,3 +50,51 @@ def test_a_stream_of_one_batch_is_past_its_first(spark):
         assert query.isActive and entry._past_first_batch(query)
     finally:
         query.stop()
+
+
+@pytest.fixture
+def bare(spark):
+    """The session without the library's settings, as a cluster may give it."""
+    before = {k: spark.conf.get(k) for k in JOB_KEYS}
+    for k in JOB_KEYS:
+        spark.conf.unset(k)
+    yield spark
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_job_settings_hold_while_a_job_runs(bare):
+    bare.conf.set(JOB_KEYS[0], "5000")
+    with job_settings(bare):
+        assert [bare.conf.get(k) for k in JOB_KEYS] == ["5000", *[DEFAULT_CONF[k] for k in JOB_KEYS[1:]]]
+    assert bare.conf.get(JOB_KEYS[0]) == "5000"
+    assert [bare.conf.get(k, None) for k in JOB_KEYS[1:]] == [None, None]
+
+
+@pytest.mark.parametrize(
+    "name,step",
+    [
+        ("stream_two_outputs_rows", "_two_outputs"),
+        ("stream_two_outputs_means", "_two_outputs"),
+        ("scaler_reload", "_job_artifacts"),
+        ("train_job_results", "_job_artifacts"),
+        ("model_reload_score", "_job_artifacts"),
+        ("stream_score_reload", "_job_artifacts"),
+        ("stream_score", "_train_on_events"),
+        ("stream_preprocess", "_lateness"),
+        ("stream_late_rows", "_staged_slices"),
+        ("stream_restart", "_staged_slices"),
+    ],
+)
+def test_queries_run_their_jobs_with_the_librarys_settings(bare, monkeypatch, name, step):
+    seen = {}
+
+    def stop(spark, sf_dir):
+        seen.update({k: spark.conf.get(k) for k in JOB_KEYS})
+        raise InterruptedError
+
+    monkeypatch.setattr(entry, step, stop)
+    with pytest.raises(InterruptedError):
+        entry.queries()[name](bare, "/none")
+    assert seen == {k: DEFAULT_CONF[k] for k in JOB_KEYS}
+    assert [bare.conf.get(k, None) for k in JOB_KEYS] == [None] * len(JOB_KEYS)
